@@ -96,9 +96,7 @@ def hop_counts_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ({sql.hops(2 * sql.DAY, sql.DAY, "user_id")}) GROUP BY ALL""")
 def window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = op.count_by_hop(table(spark, sf_dir, "events"), ["user_id"], "ts", **DAYS)
-    return op.window_stats(counts).select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-        "avg_error_count", "std_error_count")
+    return op.with_bounds(op.window_stats(counts), "2 days")
 
 
 @query(f"""
@@ -108,9 +106,8 @@ def window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def window_stats_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = op.count_by_hop(table(spark, sf_dir, "events"), ["user_id"], "ts",
                              "1 hour", "30 minutes")
-    return op.window_stats(counts, integer_stats=False).select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-        _rounded(F.col("avg_error_count"), "avg_error_count"),
+    return op.with_bounds(op.window_stats(counts, integer_stats=False), "1 hour").select(
+        "window_start", "window_end", _rounded(F.col("avg_error_count"), "avg_error_count"),
         _rounded(F.col("std_error_count"), "std_error_count"))
 
 

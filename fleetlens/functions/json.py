@@ -16,5 +16,6 @@ def json_value(text: Column | str, path: str) -> Column:
     doc = F.col(text) if isinstance(text, str) else text
     found = F.get_json_object(doc, path)
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(doc), path, "variant"))
-    return (F.when(~found.rlike(r"^[\[{]"), found)
-             .when(~kind.rlike("^(OBJECT|ARRAY)"), found))
+    nested_like = found.startswith("{") | found.startswith("[")
+    return (F.when(nested_like, F.when(~kind.rlike("^(OBJECT|ARRAY)"), found))
+             .otherwise(found))

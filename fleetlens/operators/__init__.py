@@ -1,7 +1,7 @@
 """Joins, aggregates and filters on rows."""
 
 from .alerts import (closed_before, count_by_hop, deviation_alerts, hop_counts,
-                     window_stats)
+                     window_stats, with_bounds)
 from .enrich import enrich, enrich_bounded, join_all
 from .keys import distinct_keys, latest_per_key
 from .polygons import (covered_positions, points_inside, polygon_edges, valid_polygons)
@@ -11,5 +11,5 @@ __all__ = [
     "broadcast_if_fits", "closed_before", "count_by_hop", "covered_positions",
     "deviation_alerts", "distinct_keys", "enrich", "enrich_bounded", "hop_counts",
     "join_all", "latest_per_key", "points_inside", "polygon_edges", "spread_join",
-    "valid_polygons", "window_stats",
+    "valid_polygons", "window_stats", "with_bounds",
 ]

@@ -18,51 +18,73 @@ PANES_FROM = 6
 
 def count_by_hop(events: DataFrame, keys: list[str], time: str, size: str, slide: str,
                  panes: bool | None = None) -> DataFrame:
-    """``total_count`` per sliding ``window`` and keys.
+    """``total_count`` per sliding window and keys.
 
     Windows start at multiples of ``slide`` since the epoch; the start belongs to
-    the window, the end does not. Every event is in size/slide windows.
+    the window, the end does not. Every event is in size/slide windows. On a stream
+    the window is a struct ``window``; in batch it is ``window_start``, a plain key
+    that groups and joins faster (``with_bounds`` gives both bounds for either).
+
     ``panes`` counts slide-wide panes first and adds them up to windows, for batch
     input and a size that is a multiple of the slide; by default when size/slide
     is large.
     """
     ratio, rest = divmod(duration_micros(size), duration_micros(slide))
-    possible = not events.isStreaming and rest == 0 and ratio > 1
+    number = F.count("*").alias("total_count")
+    if events.isStreaming:
+        if panes:
+            raise ValueError("panes need batch input")
+        return events.groupBy(F.window(time, size, slide).alias("window"), *keys).agg(number)
+    if rest:
+        if panes:
+            raise ValueError("panes need a size that is a multiple of the slide")
+        start = F.window(time, size, slide)["start"]
+        return events.select(start.alias("window_start"), *keys).groupBy("window_start", *keys).agg(number)
+
+    step = F.expr(f"INTERVAL {duration_micros(slide)} MICROSECOND")
+    first = F.col("_pane") - F.expr(f"INTERVAL {duration_micros(slide) * (ratio - 1)} MICROSECOND")
+    starts = F.explode(F.sequence(first, F.col("_pane"), step)).alias("window_start")
+    parts = events.select(F.window(time, slide)["start"].alias("_pane"), *keys)
     if panes is None:
-        panes = possible and ratio >= PANES_FROM
-    if not panes:
-        return (events.groupBy(F.window(time, size, slide).alias("window"), *keys)
-                .agg(F.count("*").alias("total_count")))
-    if not possible:
-        raise ValueError("panes need batch input and a size that is a multiple of the slide")
-    parts = (events.groupBy(F.window(time, slide).alias("_pane"), *keys)
-             .agg(F.count("*").alias("_n"))
-             .withColumn("_pane", F.col("_pane.start")))
-    # A window that holds the start of a pane holds all of it.
-    return (parts.groupBy(F.window("_pane", size, slide).alias("window"), *keys)
-            .agg(F.sum("_n").alias("total_count")))
+        panes = ratio >= PANES_FROM
+    if panes:
+        parts = parts.groupBy("_pane", *keys).agg(F.count("*").alias("_n"))
+        number = F.sum("_n").alias("total_count")
+        return parts.select(starts, *keys, "_n").groupBy("window_start", *keys).agg(number)
+    return parts.select(starts, *keys).groupBy("window_start", *keys).agg(number)
+
+
+def with_bounds(rows: DataFrame, size: str) -> DataFrame:
+    """``window_start`` and ``window_end`` in front of the other columns."""
+    if "window" in rows.columns:
+        start, end, others = F.col("window.start"), F.col("window.end"), rows.drop("window").columns
+    else:
+        start, others = F.col("window_start"), rows.drop("window_start").columns
+        end = start + F.expr(f"INTERVAL {duration_micros(size)} MICROSECOND")
+    return rows.select(start.alias("window_start"), end.alias("window_end"), *others)
 
 
 def hop_counts(events: DataFrame, keys: list[str], time: str, size: str, slide: str,
                panes: bool | None = None) -> DataFrame:
     """``count_by_hop`` with the window bounds as columns."""
-    counts = count_by_hop(events, keys, time, size, slide, panes)
-    return counts.select(F.col("window.start").alias("window_start"),
-                         F.col("window.end").alias("window_end"), *keys, "total_count")
+    return with_bounds(count_by_hop(events, keys, time, size, slide, panes), size)
+
+
+def _window_key(counts: DataFrame) -> str:
+    return "window" if "window" in counts.columns else "window_start"
 
 
-def window_stats(counts: DataFrame, integer_stats: bool = True,
-                 by: tuple[str, ...] = ("window",)) -> DataFrame:
+def window_stats(counts: DataFrame, integer_stats: bool = True) -> DataFrame:
     """Mean and sample deviation of ``total_count`` over the rows of a window.
 
     Computed from exact sums, so the result does not depend on how rows were
     spread over tasks: a deviation that is exactly 2 never truncates to 1. With
     ``integer_stats`` both are cut to BIGINT. The deviation of a single row is NULL.
     """
-    c = F.col("total_count")
+    window, c = _window_key(counts), F.col("total_count")
     square = c.cast("decimal(19,0)") * c.cast("decimal(19,0)")
-    sums = counts.groupBy(*by).agg(F.count("*").alias("_n"), F.sum(c).alias("_s1"),
-                                   F.sum(square).alias("_s2"))
+    sums = counts.groupBy(window).agg(F.count("*").alias("_n"), F.sum(c).alias("_s1"),
+                                      F.sum(square).alias("_s2"))
     n, s1, s2 = F.col("_n"), F.col("_s1").cast("decimal(19,0)"), F.col("_s2")
     spread = (n.cast("decimal(10,0)") * s2 - s1 * s1).cast("double")
     pairs = n.cast("double") * (n - 1)
@@ -71,7 +93,7 @@ def window_stats(counts: DataFrame, integer_stats: bool = True,
         mean, deviation = F.expr("_s1 div _n"), deviation.cast("bigint")
     else:
         mean = F.col("_s1").cast("double") / n
-    return sums.select(*by, mean.alias("avg_error_count"), deviation.alias("std_error_count"))
+    return sums.select(window, mean.alias("avg_error_count"), deviation.alias("std_error_count"))
 
 
 def closed_before(rows: DataFrame, watermark: Column | datetime) -> DataFrame:
@@ -83,7 +105,7 @@ def _outlying(counts: DataFrame, stats: DataFrame, k: float, floor: float,
               salts: int, spread_by: list[str]) -> DataFrame:
     over = F.col("total_count") > (F.col("avg_error_count")
                                    + F.lit(k) * F.col("std_error_count") + F.lit(floor))
-    return spread_join(counts, stats, ["window"], spread_by, salts, where=over)
+    return spread_join(counts, stats, [_window_key(counts)], spread_by, salts, where=over)
 
 
 def deviation_alerts(events: DataFrame, *, key: str = "deviceId",
@@ -129,10 +151,10 @@ def deviation_alerts(events: DataFrame, *, key: str = "deviceId",
     stats = window_stats(counts, integer_stats)
     if time_range and _windows_in(time_range, size, slide) <= BROADCAST_WINDOWS:
         stats, salts = F.broadcast(stats), 1
-    alerts = _outlying(counts, stats, k, floor, salts, keys)
+    alerts = with_bounds(_outlying(counts, stats, k, floor, salts, keys), size)
     return alerts.select(
-        F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
         F.col("total_count").alias("total_count_per_deviceid"),
         *keys, "avg_error_count", "std_error_count")
 

@@ -21,9 +21,11 @@ def spread_join(big: DataFrame, small: DataFrame, on: list[str], spread_by: list
     is an additional condition, tested inside the join.
     """
     if salts > 1:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(salts)).cast("int")
-        big = big.withColumn(_SALT, salt)
-        small = small.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(salts))
+        # Never NULL, and known not to be: no null test is added to the input.
+        big = big.withColumn(_SALT, F.coalesce(salt, F.lit(0)))
+        numbers = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+        small = small.withColumn(_SALT, F.explode(numbers))
         on = [*on, _SALT]
     joined = big.join(small, on)
     if where is not None:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from ..functions.time import iso_text
 
 _CORRUPT = "_corrupt_record"
+_TEXT = "_text"
 
 
 def decode(messages: DataFrame, schema: StructType, on_error: str = "drop",
@@ -23,30 +26,45 @@ def decode(messages: DataFrame, schema: StructType, on_error: str = "drop",
               text in ``_corrupt_record``.
     """
     text = F.col(value)
-    present = messages.where(text.isNotNull())
+    names = [f.name for f in schema.fields]
     if on_error == "fail":
         # from_json takes blank text for NULL in every mode.
         solid = F.when(F.trim(text) == "", F.raise_error(F.lit("blank message"))).otherwise(text)
-        parsed = present.select(F.from_json(solid, schema, {"mode": "FAILFAST"}).alias("row"))
-        return parsed.select("row.*")
+        parsed = F.from_json(solid, schema, {"mode": "FAILFAST"})
+        return _kept(messages, parsed, lambda row: row.isNotNull())
     if on_error not in ("drop", "keep"):
         raise ValueError(f"unknown on_error: {on_error!r}")
 
     with_corrupt = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = present.select(text.alias("text"),
-                            F.from_json(text, with_corrupt, options).alias("row"))
+    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE",
+                                              "columnNameOfCorruptRecord": _CORRUPT})
+
     # The corrupt column is also set when one field does not convert; only those
-    # rows are parsed again, to see whether the text is an object at all.
-    is_object = F.col("row").isNotNull() & (
-        F.col(f"row.{_CORRUPT}").isNull()
-        | (F.get_json_object("text", "$").isNotNull() & F.ltrim("text").startswith("{")))
+    # rows are looked at again, to see whether the text is an object at all.
+    def is_object(corrupt: Column) -> Column:
+        return corrupt.isNull() | (F.get_json_object(text, "$").isNotNull()
+                                   & F.ltrim(text).startswith("{"))
+
     if on_error == "drop":
-        return parsed.where(is_object).select(*[F.col("row").getField(f.name).alias(f.name)
-                                                for f in schema.fields])
-    fields = [F.when(is_object, F.col("row").getField(f.name)).alias(f.name)
-              for f in schema.fields]
-    return parsed.select(*fields, F.when(~is_object, F.col("text")).alias(_CORRUPT))
+        rows = _kept(messages, parsed,
+                     lambda row: row.isNotNull() & is_object(row.getField(_CORRUPT)))
+        return rows.select(*[F.col(f"`{name}`") for name in names])
+    # Blank text has no row, and is neither an object nor NULL.
+    rows = (messages.where(text.isNotNull())
+            .select(text.alias(_TEXT), F.inline_outer(F.array(parsed))))
+    text = F.col(_TEXT)
+    whole = is_object(F.col(_CORRUPT)) & (F.trim(text) != "")
+    return rows.select(*[F.when(whole, F.col(f"`{name}`")).alias(name) for name in names],
+                       F.when(~whole, text).alias(_CORRUPT))
+
+
+def _kept(messages: DataFrame, parsed: Column, wanted: Callable[[Column], Column]) -> DataFrame:
+    """The fields of ``parsed`` where it is ``wanted``.
+
+    A ``where`` on the parsed row would be moved below the projection and parse
+    every message twice; filtering a one-element array parses once.
+    """
+    return messages.select(F.inline(F.filter(F.array(parsed), wanted)))
 
 
 def encode(rows: DataFrame, keep_nulls: bool = True) -> DataFrame:
