@@ -95,9 +95,13 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_events(plans.read_table(spark, plans.EVENTS_GEO, path))
 
 
-@query(sql.alerts(2 * sql.DAY, sql.DAY, 3, 0, keys='"deviceId", "deviceLocation"',
-                  where="\"eventNotificationName\" = 'error'",
-                  source=f"({sql.ENRICHED})", time='"timestamp"', last=sql.CLOSED))
+_STREAMED_ALERTS = sql.alerts(
+    2 * sql.DAY, sql.DAY, 3, 0, keys='"deviceId", "deviceLocation"',
+    where="\"eventNotificationName\" = 'error'", source=f"({sql.ENRICHED})", time='"timestamp"',
+    last=sql.CLOSED)
+
+
+@query(_STREAMED_ALERTS)
 def stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both jobs, topic to topic: events to enriched events to alerts."""
     sent, enriched, alerts = (FileTopic(scratch_dir(spark, f"topic-{name}"))
@@ -110,6 +114,16 @@ def stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts_from(alerts.table(spark), "fail")
 
 
+@query(_STREAMED_ALERTS)
+def stream_topics_one_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts from a stream that only counts, judged batch by batch."""
+    enriched, alerts = (FileTopic(scratch_dir(spark, f"topic-{name}")) for name in ("geo", "found"))
+    enriched.publish(_enriched_messages(spark, sf_dir))
+    alert_job(spark, enriched, alerts, scratch_dir(spark, "one-state-progress"), status="error",
+              size="2 days", slide="1 day", floor=0, one_state=True, trigger=_NOW).awaitTermination()
+    return alerts_from(alerts.table(spark), "fail")
+
+
 @query("""
     SELECT event_type = 'error' AS is_error, count(*) AS n FROM events GROUP BY 1""")
 def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,14 @@
 """Joins, aggregates and filters on rows."""
 
-from .alerts import (closed_before, count_by_hop, deviation_alerts, hop_counts,
-                     window_stats, with_bounds)
+from .alerts import (alerts_from_counts, closed_before, closed_counts, count_by_hop,
+                     deviation_alerts, hop_counts, window_stats, with_bounds)
 from .enrich import enrich, enrich_bounded, join_all
 from .keys import distinct_keys, latest_per_key
 from .polygons import (covered_positions, points_inside, polygon_edges, valid_polygons)
 from .spread import broadcast_if_fits, spread_join
 
 __all__ = [
-    "broadcast_if_fits", "closed_before", "count_by_hop", "covered_positions",
+    "alerts_from_counts", "broadcast_if_fits", "closed_before", "closed_counts", "count_by_hop", "covered_positions",
     "deviation_alerts", "distinct_keys", "enrich", "enrich_bounded", "hop_counts",
     "join_all", "latest_per_key", "points_inside", "polygon_edges", "spread_join",
     "valid_polygons", "window_stats", "with_bounds",

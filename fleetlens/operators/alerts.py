@@ -17,7 +17,7 @@ PANES_FROM = 6
 
 
 def count_by_hop(events: DataFrame, keys: list[str], time: str, size: str, slide: str,
-                 panes: bool | None = None) -> DataFrame:
+                 panes: bool | None = None, key_first: bool = False) -> DataFrame:
     """``total_count`` per sliding window and keys.
 
     Windows start at multiples of ``slide`` since the epoch; the start belongs to
@@ -27,14 +27,16 @@ def count_by_hop(events: DataFrame, keys: list[str], time: str, size: str, slide
 
     ``panes`` counts slide-wide panes first and adds them up to windows, for batch
     input and a size that is a multiple of the slide; by default when size/slide
-    is large.
+    is large. ``key_first`` hashes a stream by the keys before the window.
     """
     ratio, rest = divmod(duration_micros(size), duration_micros(slide))
     number = F.count("*").alias("total_count")
     if events.isStreaming:
         if panes:
             raise ValueError("panes need batch input")
-        return events.groupBy(F.window(time, size, slide).alias("window"), *keys).agg(number)
+        window = F.window(time, size, slide).alias("window")
+        grouping = [*keys, window] if key_first else [window, *keys]
+        return events.groupBy(*grouping).agg(number)
     if rest:
         if panes:
             raise ValueError("panes need a size that is a multiple of the slide")
@@ -101,11 +103,45 @@ def closed_before(rows: DataFrame, watermark: Column | datetime) -> DataFrame:
     return rows.where(F.col("window_end") <= watermark)
 
 
-def _outlying(counts: DataFrame, stats: DataFrame, k: float, floor: float,
-              salts: int, spread_by: list[str]) -> DataFrame:
+def _judged(counts: DataFrame, stats: DataFrame, keys: list[str], size: str, k: float,
+            floor: float, salts: int) -> DataFrame:
     over = F.col("total_count") > (F.col("avg_error_count")
                                    + F.lit(k) * F.col("std_error_count") + F.lit(floor))
-    return spread_join(counts, stats, [_window_key(counts)], spread_by, salts, where=over)
+    alerts = spread_join(counts, stats, [_window_key(counts)], keys, salts, where=over)
+    return with_bounds(alerts, size).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        F.col("total_count").alias("total_count_per_deviceid"),
+        *keys, "avg_error_count", "std_error_count")
+
+
+def alerts_from_counts(counts: DataFrame, keys: list[str], size: str = "1 minute", k: float = 3,
+                       floor: float = 5, integer_stats: bool = True,
+                       salts: int = DEFAULT_SALTS) -> DataFrame:
+    """The alerts of whole windows, from a batch of ``window_start``, keys and
+    ``total_count``."""
+    counts = counts.select("window_start", *keys, "total_count")
+    return _judged(counts, window_stats(counts, integer_stats), keys, size, k, floor, salts)
+
+
+def _counted(events: DataFrame, time: str, where: Column | None, delay: str) -> DataFrame:
+    """The events to count; on a stream with a watermark that all events advance."""
+    if events.isStreaming:
+        events = events.withWatermark(time, delay)
+        if where is not None:
+            # A filter that does not read the event time would be moved below the
+            # watermark, which then only counted events would advance.
+            where = F.when(F.col(time).isNotNull(), where)
+    return events if where is None else events.where(where)
+
+
+def closed_counts(events: DataFrame, *, key: str = "deviceId",
+                  also: tuple[str, ...] = ("deviceLocation",), time: str = "eventTimestamp",
+                  where: Column | None = None, size: str = "1 minute",
+                  slide: str = "30 seconds", delay: str = "5 seconds") -> DataFrame:
+    """``hop_counts`` of the picked events; on a stream, of windows that have closed.
+    All rows of a window leave the stream in the same micro-batch."""
+    return hop_counts(_counted(events, time, where, delay), [key, *also], time, size, slide)
 
 
 def deviation_alerts(events: DataFrame, *, key: str = "deviceId",
@@ -138,25 +174,16 @@ def deviation_alerts(events: DataFrame, *, key: str = "deviceId",
     if time_range:
         start, end = time_range
         events = events.where((F.col(time) >= F.lit(start)) & (F.col(time) < F.lit(end)))
-    if streaming:
-        events = events.withWatermark(time, delay)
-        if where is not None:
-            # A filter that does not read the event time would be moved below the
-            # watermark, which then only counted events would advance.
-            where = F.when(F.col(time).isNotNull(), where)
-    if where is not None:
-        events = events.where(where)
-
+    events = _counted(events, time, where, delay)
     counts = count_by_hop(events, keys, time, size, slide)
-    stats = window_stats(counts, integer_stats)
+    # A stream has to shuffle twice: a reused exchange hides the watermark from the
+    # operators above it, and their windows would never close. With the keys in
+    # another order the two shuffles differ.
+    again = count_by_hop(events, keys, time, size, slide, key_first=True) if streaming else counts
+    stats = window_stats(again, integer_stats)
     if time_range and _windows_in(time_range, size, slide) <= BROADCAST_WINDOWS:
         stats, salts = F.broadcast(stats), 1
-    alerts = with_bounds(_outlying(counts, stats, k, floor, salts, keys), size)
-    return alerts.select(
-        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
-        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
-        F.col("total_count").alias("total_count_per_deviceid"),
-        *keys, "avg_error_count", "std_error_count")
+    return _judged(counts, stats, keys, size, k, floor, salts)
 
 
 def _windows_in(time_range: tuple[datetime, datetime], size: str, slide: str) -> int:

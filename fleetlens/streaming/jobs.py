@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..operators.alerts import deviation_alerts
+from ..operators.alerts import alerts_from_counts, closed_counts, deviation_alerts
 from ..operators.enrich import enrich
 from ..sources.messages import decode, encode
 from ..sources.topics import FileTopic, KafkaTopic
@@ -61,12 +61,31 @@ def enrichment_job(spark: SparkSession, devices: Topic | DataFrame | Callable[[]
 
 def alert_job(spark: SparkSession, enriched: Topic, sink: Topic, checkpoint: str, *,
               status: str = "accessRejected", trigger: dict | None = None,
-              **settings) -> StreamingQuery:
-    """Deviation alerts, topic to topic; ``settings`` go to ``deviation_alerts``."""
-    alerts = deviation_alerts(enriched_from(enriched.stream(spark)),
-                              where=F.col("eventNotificationName") == status, **settings)
-    return _start(sink.publish_stream(encode(alerts.select(*schemas.ALERTS.names))),
-                  checkpoint, trigger or {"processingTime": "10 seconds"})
+              one_state: bool = False, k: float = 3, floor: float = 5,
+              integer_stats: bool = True, **settings) -> StreamingQuery:
+    """Deviation alerts, topic to topic; ``settings`` go to ``deviation_alerts``.
+
+    As one chain of stream operators the topic is read twice, for counts and for
+    statistics, and the join keeps state of its own. With ``one_state`` the stream
+    only counts, and every micro-batch is judged as the whole windows it closes:
+    one read, a third of the state, but the sink is written at-least-once, as a
+    Kafka sink is anyway.
+    """
+    trigger = trigger or {"processingTime": "10 seconds"}
+    events = enriched_from(enriched.stream(spark))
+    picked = F.col("eventNotificationName") == status
+    if not one_state:
+        alerts = deviation_alerts(events, where=picked, k=k, floor=floor,
+                                  integer_stats=integer_stats, **settings)
+        return _start(sink.publish_stream(encode(alerts.select(*schemas.ALERTS.names))),
+                      checkpoint, trigger)
+
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        alerts = alerts_from_counts(batch, ["deviceId", "deviceLocation"],
+                                    settings.get("size", "1 minute"), k, floor, integer_stats)
+        sink.publish(encode(alerts.select(*schemas.ALERTS.names)))
+
+    return fan_out(closed_counts(events, where=picked, **settings), [judge], checkpoint, trigger)
 
 
 def _start(writer, checkpoint: str, trigger: dict) -> StreamingQuery:
