@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetlens import schemas
 from fleetlens.functions import device_record, event_record
+from fleetlens.operators import locate
 from fleetlens.sources import decode, to_messages
 
 
@@ -57,9 +58,8 @@ def events(rows: DataFrame) -> DataFrame:
 
 def positions(customers: DataFrame) -> DataFrame:
     """``id, lat, lon`` (DOUBLE) of every customer."""
-    from fleetlens.functions import split_location
-    lat, lon = split_location(location(), "double")
-    return customers.select(F.col("c_custkey").alias("id"), lat.alias("lat"), lon.alias("lon"))
+    rows = customers.select(F.col("c_custkey").alias("id"), location().alias("loc"))
+    return locate(rows, "loc").drop("loc")
 
 
 def land(suppliers: DataFrame) -> DataFrame:

@@ -33,30 +33,36 @@ def event_notices(events: DataFrame) -> DataFrame:
     )
 
 
-def enrich(events: DataFrame, devices: DataFrame, *, broadcast: str = "auto",
+def enrich(events: DataFrame, devices: DataFrame, *, broadcast: str | None = None,
            broadcast_limit: int = BROADCAST_BYTES, salts: int | None = None) -> DataFrame:
     """Events with city, region and location of their device.
 
     Inner join with bag semantics: an event comes out once per row of its device,
     and not at all when the device is unknown.
 
-    ``broadcast``: ``auto`` leaves it to Spark's size threshold; ``measured``
-    measures the device side and hints a broadcast within ``broadcast_limit`` bytes.
-    Beyond that the join shuffles, with each device's events over ``salts`` tasks.
-    ``salts`` defaults to 1 for a batch join, where adaptive execution splits skewed
-    partitions, and to 16 for two streams, where it does not run.
-
-    Two streams keep all rows as state, since an event may wait for its device
-    forever; prefer a device table (stream-static) or ``enrich_bounded``.
+    How the join runs:
+
+    - batch: Spark's size threshold decides on a broadcast (``broadcast="auto"``);
+      beyond it the join shuffles and adaptive execution splits skewed devices;
+    - stream with a device table: the table is measured once
+      (``broadcast="measured"``) and broadcast within ``broadcast_limit`` bytes;
+      beyond that every device's events are spread over ``salts`` tasks, because
+      adaptive execution does not help a stream;
+    - two streams: spread over ``salts`` tasks. All rows are kept as state, since an
+      event may wait for its device forever; prefer a device table or
+      ``enrich_bounded``.
     """
     notices, places = event_notices(events), device_places(devices)
+    both = events.isStreaming and devices.isStreaming
+    if broadcast is None:
+        broadcast = "measured" if events.isStreaming and not both else "auto"
     if broadcast not in ("auto", "measured"):
         raise ValueError(f"unknown broadcast: {broadcast!r}")
     if broadcast == "measured" and not devices.isStreaming:
         places, fits = broadcast_if_fits(places, broadcast_limit)
         salts = 1 if fits else (salts or DEFAULT_SALTS)
     if salts is None:
-        salts = DEFAULT_SALTS if devices.isStreaming and events.isStreaming else 1
+        salts = DEFAULT_SALTS if both else 1
     return spread_join(notices, places, ["deviceId"], _EVENT_HASH, salts).select(*_OUTPUT)
 
 

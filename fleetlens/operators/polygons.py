@@ -15,8 +15,8 @@ LANDUSE = ("commercial", "industrial", "residential")
 
 
 def _finite(column: str) -> Column:
-    c = F.col(column)
-    return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
+    """Neither NULL nor infinite nor NaN, which orders above infinity."""
+    return F.abs(column) < F.lit(float("inf"))
 
 
 def _outlines(vertices: DataFrame) -> DataFrame:
@@ -105,7 +105,7 @@ def covered_positions(points: DataFrame, land: DataFrame, city: DataFrame,
                       salts: int = DEFAULT_SALTS) -> DataFrame:
     """Points inside at least one land polygon of a listed use and inside the city."""
     used = land.where(F.col("landuse").isin(*landuse))
+    positions = points.select("lat", "lon")
     for area in (used, city):
-        inside = points_inside(points, area, cell_degrees, salts).select("lat", "lon").distinct()
-        points = points.join(inside, ["lat", "lon"], "left_semi")
-    return points
+        positions = points_inside(positions, area, cell_degrees, salts).select("lat", "lon").distinct()
+    return points.join(positions, ["lat", "lon"], "left_semi")
