@@ -158,12 +158,13 @@ def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT event_id, CASE WHEN event_type <> 'view' THEN {sql.MILLIS} END AS ts,
-           CAST(NULL AS VARCHAR) AS missing
+    SELECT event_id, CASE WHEN event_type <> 'view' THEN {sql.ISO_MILLIS} ELSE 'none' END AS ts,
+           TRUE AS missing_is_null
     FROM events WHERE event_type <> 'signup'""")
 def decode_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decode(_damaged(spark, sf_dir), _as_struct("event_id BIGINT, ts TIMESTAMP, missing STRING"))
-    return _zoneless(rows, "ts")
+    return rows.select("event_id", F.coalesce(fn.iso_millis("ts"), F.lit("none")).alias("ts"),
+                       F.col("missing").isNull().alias("missing_is_null"))
 
 
 @query("""
@@ -238,13 +239,13 @@ def filter_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where(F.col("value") > F.lit(20) + F.lit(3) * F.lit(10) + F.lit(5))
 
 
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS missing, "
-       "CAST(NULL AS VARCHAR) AS whole FROM events")
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k, TRUE AS missing_is_null, "
+       "TRUE AS object_is_null FROM events")
 def json_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", fn.json_value("props", "$.k").alias("k"),
-        fn.json_value("props", "$.none").alias("missing"),
-        fn.json_value("props", "$").alias("whole"))
+        fn.json_value("props", "$.none").isNull().alias("missing_is_null"),
+        fn.json_value("props", "$").isNull().alias("object_is_null"))
 
 
 @query(f"SELECT c_custkey, {sql.LOCATION} AS packed, round({sql.latitude(sql.LOCATION)}, 6) AS lat, "
@@ -257,13 +258,13 @@ def location_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT c_custkey, round(CAST(CAST({sql.latitude(sql.LOCATION)} AS FLOAT) AS DOUBLE), 4) AS lat, "
        f"round(CAST(CAST({sql.longitude(sql.LOCATION)} AS FLOAT) AS DOUBLE), 4) AS lon, "
-       "CAST(NULL AS DOUBLE) AS none FROM customer")
+       "TRUE AS text_is_null FROM customer")
 def location_float(spark: SparkSession, sf_dir: str) -> DataFrame:
     lat, lon = fn.split_location(location())
     none, _ = fn.split_location("c_mktsegment")
     return table(spark, sf_dir, "customer").select(
         "c_custkey", F.round(lat.cast("double"), 4).alias("lat"),
-        F.round(lon.cast("double"), 4).alias("lon"), none.cast("double").alias("none"))
+        F.round(lon.cast("double"), 4).alias("lon"), none.isNull().alias("text_is_null"))
 
 
 @query(f"SELECT id, {sql.LOCATION.replace('c_custkey', 'id')} AS loc, "
@@ -335,15 +336,16 @@ def iso_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("SELECT event_id, date_trunc('milliseconds', ts) AS iso, "
-       "date_trunc('milliseconds', ts) AS millis, CAST(NULL AS TIMESTAMP) AS bad, "
-       "CAST(ts AS DATE) AS day FROM events")
+       "date_trunc('milliseconds', ts) AS millis, TRUE AS text_is_null, "
+       "strftime(ts, '%Y-%m-%d') AS day FROM events")
 def parse_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     instant = F.col("ts").cast("timestamp")
     rows = table(spark, sf_dir, "events").select(
         "event_id", fn.parse_time(fn.iso_millis("ts")).alias("iso"),
         fn.parse_time(F.unix_millis(instant).cast("string"), "auto").alias("millis"),
-        fn.parse_time("event_type").alias("bad"), fn.utc_date(instant).alias("day"))
-    return _zoneless(rows, "iso", "millis", "bad")
+        fn.parse_time("event_type").isNull().alias("text_is_null"),
+        fn.utc_date(instant).cast("string").alias("day"))
+    return _zoneless(rows, "iso", "millis")
 
 
 @query(f"""

@@ -95,6 +95,20 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_events(plans.read_table(spark, plans.EVENTS_GEO, path))
 
 
+@query("""
+    SELECT CAST(user_id AS VARCHAR) AS "deviceId", 2 * count(*) AS n
+    FROM events JOIN customer ON user_id = c_custkey GROUP BY 1""")
+def stream_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic read from the beginning again, on top of what is stored."""
+    topic = FileTopic(scratch_dir(spark, "reset-topic"))
+    topic.publish(_enriched_messages(spark, sf_dir))
+    path, progress = scratch_dir(spark, "reset-table"), scratch_dir(spark, "reset-progress")
+    for _ in range(2):
+        plans.reset_stream(topic.stream(spark), plans.EVENTS_GEO, path, progress).awaitTermination()
+    return plans.read_table(spark, plans.EVENTS_GEO, path).groupBy("deviceId").agg(
+        F.count("*").alias("n"))
+
+
 _STREAMED_ALERTS = sql.alerts(
     2 * sql.DAY, sql.DAY, 3, 0, keys='"deviceId", "deviceLocation"',
     where="\"eventNotificationName\" = 'error'", source=f"({sql.ENRICHED})", time='"timestamp"',

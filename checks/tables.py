@@ -58,13 +58,15 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, "coordinates STRING")
 
 
-@query("SELECT event_id, user_id, CASE WHEN event_type <> 'view' THEN props END AS props FROM events")
+@query("SELECT event_id, user_id, CASE WHEN event_type <> 'view' THEN props ELSE 'none' END AS props "
+       "FROM events")
 def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "json")
     rows = table(spark, sf_dir, "events").select(
         "event_id", "user_id", F.when(F.col("event_type") != "view", F.col("props")).alias("props"))
     write_json(rows, path)
-    return spark.read.schema("event_id BIGINT, user_id BIGINT, props STRING").json(path)
+    rows = spark.read.schema("event_id BIGINT, user_id BIGINT, props STRING").json(path)
+    return rows.withColumn("props", F.coalesce("props", F.lit("none")))
 
 
 @query(f'SELECT CAST(c_custkey AS VARCHAR) AS "deviceId", {sql.LOCATION} AS loc, '
@@ -111,13 +113,16 @@ _STORED_EVENTS = f"""
            CASE WHEN epoch_ms(ts) % 1000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
                 ELSE rtrim(strftime(ts, '%Y-%m-%dT%H:%M:%S.%g'), '0') || 'Z' END AS "timestamp",
            {_stored_position('"deviceLocation"', '"deviceLatitude"', '"deviceLongitude"')},
-           CAST(ts AS DATE) AS "__date"
+           strftime(ts, '%Y-%m-%d') AS "__date"
     FROM (SELECT "timestamp" AS ts, * EXCLUDE ("timestamp") FROM ({sql.ENRICHED}))"""
 
 
 def _show_events(rows: DataFrame) -> DataFrame:
-    return rows.withColumns({"__time": F.col("__time").cast("timestamp_ntz"),
-                             **_rounded("deviceLatitude", "deviceLongitude")})
+    shown = {"__time": F.col("__time").cast("timestamp_ntz"),
+             **_rounded("deviceLatitude", "deviceLongitude")}
+    if "__date" in rows.columns:
+        shown["__date"] = F.col("__date").cast("string")
+    return rows.withColumns(shown)
 
 
 @query(_STORED_DEVICES)
@@ -142,7 +147,7 @@ _ENRICHED_ALERTS = sql.alerts(2 * sql.DAY, sql.DAY, 3, 0, keys='"deviceId", "dev
     SELECT window_end AS "__time", strftime(window_start, '%Y-%m-%dT%H:%M:%S') AS window_start,
            total_count_per_deviceid, "deviceId", avg_error_count, std_error_count,
            {_stored_position('"deviceLocation"', '"deviceLatitude"', '"deviceLongitude"')},
-           CAST(window_end AS DATE) AS "__date"
+           strftime(window_end, '%Y-%m-%d') AS "__date"
     FROM ({_ENRICHED_ALERTS})""")
 def ingest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_events(plans.read_table(spark, plans.ALERTS,
@@ -159,7 +164,7 @@ def ingest_again(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
     SELECT event_id, ts AS "__time", CAST(value * 100 AS BIGINT) // 100 AS whole,
-           list_sort([event_type, 'm', 'm']) [1] AS tag1, 3 AS n_tags, CAST(ts AS DATE) AS "__date"
+           list_sort([event_type, 'm', 'm']) [1] AS tag1, 3 AS n_tags, strftime(ts, '%Y-%m-%d') AS "__date"
     FROM (SELECT * REPLACE (date_trunc('milliseconds', ts) AS ts) FROM events)
     WHERE event_type <> 'signup'""")
 def ingest_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +183,8 @@ def ingest_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
                spec, path, "first")
     rows = plans.read_table(spark, spec, path)
     return rows.select("event_id", F.col("__time").cast("timestamp_ntz").alias("__time"), "whole",
-                       F.col("tags")[0].alias("tag1"), F.size("tags").alias("n_tags"), "__date")
+                       F.col("tags")[0].alias("tag1"), F.size("tags").alias("n_tags"),
+                       F.col("__date").cast("string").alias("__date"))
 
 
 @query(f"SELECT * FROM ({_STORED_EVENTS}) WHERE \"__time\" >= TIMESTAMP '2024-01-10 06:00:00' "
@@ -247,6 +253,28 @@ def sql_over_store(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round(lat, 4).alias("latitude"))
 
 
+@query("""
+    SELECT c_custkey AS id, c_acctbal >= 0 AS has_city, TRUE AS kept_with_nulls FROM customer""")
+def rows_as_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored rows as JSON: devices with their NULLs, events without. Devices of
+    customers in debt have no city here."""
+    customers = table(spark, sf_dir, "customer")
+    cities = F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment"))
+    sent = device_messages(customers.withColumn("c_mktsegment", cities))
+    path = scratch_dir(spark, "as-messages")
+    plans.load(sent, plans.DEVICES, path, "first")
+    rows = plans.read_table(spark, plans.DEVICES, path)
+
+    def has_city(messages: DataFrame, name: str) -> DataFrame:
+        return messages.select(
+            F.get_json_object("value", "$.deviceId").cast("bigint").alias("id"),
+            F.col("value").contains('"payload.location.city":').alias(name))
+
+    kept = has_city(plans.as_messages(rows, plans.DEVICES), "kept_with_nulls")
+    dropped = has_city(plans.as_messages(rows, plans.EVENTS_GEO), "has_city")
+    return dropped.join(kept, "id")
+
+
 @query(f'SELECT "deviceId", latitude, longitude FROM ({_STORED_DEVICES})')
 def save_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "saved")

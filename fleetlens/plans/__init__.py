@@ -4,11 +4,12 @@ from .maintenance import delete_interval, disable, enable, list_days
 from .reports import (alerts_on_map, device_map, query_messages, rejected_over_time,
                       save_result)
 from .specs import ALERTS, DEVICES, EVENTS_GEO, Dimension, IngestSpec
-from .store import load, load_stream, read_table, scan, shape, shape_counted
+from .store import (as_messages, load, load_stream, read_table, reset_stream, scan, shape,
+                    shape_counted)
 
 __all__ = [
-    "ALERTS", "DEVICES", "Dimension", "EVENTS_GEO", "IngestSpec", "alerts_on_map",
+    "ALERTS", "DEVICES", "Dimension", "EVENTS_GEO", "IngestSpec", "alerts_on_map", "as_messages",
     "delete_interval", "device_map", "disable", "enable", "list_days", "load",
-    "load_stream", "query_messages", "read_table", "rejected_over_time", "save_result",
+    "load_stream", "query_messages", "read_table", "rejected_over_time", "reset_stream", "save_result",
     "scan", "shape", "shape_counted",
 ]

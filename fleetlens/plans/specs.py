@@ -33,7 +33,8 @@ class IngestSpec:
 
     ``paths`` names JSON paths to read besides the top-level fields; ``derived``
     adds columns computed from fields read, each as a function that returns a
-    Column. Only ``dimensions`` and the event time ``__time`` are kept. A message
+    Column. ``indexed`` string columns get a Bloom filter per file, so that a search
+    for one value skips files. Only ``dimensions`` and the event time ``__time`` are kept. A message
     whose time column is missing or unreadable takes ``missing_time``, or is
     skipped when that is None.
     """
@@ -49,6 +50,7 @@ class IngestSpec:
     partition_by_day: bool = True
     keep_nulls: bool = False
     rows_per_file: int = 5_000_000
+    indexed: tuple[str, ...] = ("deviceId",)
     rollup: bool = False
 
     def __post_init__(self) -> None:

@@ -8,6 +8,7 @@ after a failure adds nothing twice.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -17,7 +18,7 @@ from pyspark.sql.types import (ArrayType, DateType, FloatType, LongType, StringT
 
 from ..functions.records import sorted_values
 from ..functions.time import parse_time, utc_date
-from ..sources.messages import decode
+from ..sources.messages import decode, encode
 from .specs import Dimension, IngestSpec
 
 _TYPES = {"string": StringType(), "long": LongType(), "float": FloatType()}
@@ -98,42 +99,48 @@ def _partitions(spec: IngestSpec) -> list[str]:
 
 
 def load(messages: DataFrame, spec: IngestSpec, path: str, load_id: str,
-         start: datetime | None = None, end: datetime | None = None) -> None:
+         start: datetime | None = None, end: datetime | None = None,
+         rebalance: bool = True) -> None:
     """Append a batch of messages to a table as the load ``load_id``.
 
     Loading the same id again replaces it. ``start`` and ``end`` (exclusive)
     optionally reject rows that are too early or too late; by default none are.
+    ``rebalance`` shuffles rows by day before writing, for few files per day; without
+    it every task writes a file for every day it meets, which is better when the
+    input is in time order already.
     """
     rows = shape(messages, spec)
     if start is not None:
-        rows = rows.where(F.col("__time") >= F.lit(start))
+        rows = rows.where(F.col("__time") >= F.lit(_utc(start)))
     if end is not None:
-        rows = rows.where(F.col("__time") < F.lit(end))
-    _write(rows, spec, path, load_id)
+        rows = rows.where(F.col("__time") < F.lit(_utc(end)))
+    _write(rows, spec, path, load_id, rebalance)
 
 
-def _write(rows: DataFrame, spec: IngestSpec, path: str, load_id: str) -> None:
+def _write(rows: DataFrame, spec: IngestSpec, path: str, load_id: str, rebalance: bool) -> None:
     if spec.partition_by_day:
         rows = rows.withColumn("__date", utc_date("__time"))
-        # Few files per day; a day too large for one task is split again.
-        rows = rows.hint("rebalance", "__date")
-    (rows.withColumn("__load", F.lit(load_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", spec.rows_per_file)
-     .partitionBy(*_partitions(spec)).parquet(path))
+        if rebalance:
+            # A day too large for one task is split again.
+            rows = rows.hint("rebalance", "__date")
+    writer = (rows.withColumn("__load", F.lit(load_id)).write.mode("overwrite")
+              .option("partitionOverwriteMode", "dynamic")
+              .option("maxRecordsPerFile", spec.rows_per_file))
+    for name in spec.indexed:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    writer.partitionBy(*_partitions(spec)).parquet(path)
 
 
 def load_stream(messages: DataFrame, spec: IngestSpec, path: str, checkpoint: str,
-                stream_id: str, trigger: dict | None = None) -> StreamingQuery:
+                stream_id: str, trigger: dict | None = None,
+                rebalance: bool = True) -> StreamingQuery:
     """Keep a table filled from a message stream.
 
     Every micro-batch is one load, so a batch that is repeated after a failure
-    replaces itself. There is no watermark: late and early rows are kept. Starting
-    with a new ``checkpoint`` reads the topic from the beginning; give it a new
-    ``stream_id`` as well, or delete the old rows first.
+    replaces itself. There is no watermark: late and early rows are kept.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write(shape(batch, spec), spec, path, f"{stream_id}-{batch_id}")
+        _write(shape(batch, spec), spec, path, f"{stream_id}-{batch_id}", rebalance)
 
     return (messages.writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint)
@@ -141,11 +148,27 @@ def load_stream(messages: DataFrame, spec: IngestSpec, path: str, checkpoint: st
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def reset_stream(messages: DataFrame, spec: IngestSpec, path: str, progress: str,
+                 **settings) -> StreamingQuery:
+    """``load_stream`` from the earliest message on, under a new identity with its
+    own checkpoint below ``progress``. Rows already stored stay: delete them first
+    (``delete_interval``) to have each once."""
+    stream_id = uuid.uuid4().hex
+    return load_stream(messages, spec, path, f"{progress.rstrip('/')}/{stream_id}", stream_id,
+                       **settings)
+
+
 def read_table(spark: SparkSession, spec: IngestSpec, path: str) -> DataFrame:
     """All rows: ``__time``, the dimensions and, where partitioned, ``__date``."""
     return spark.read.schema(table_schema(spec)).parquet(path).drop("__load")
 
 
+def as_messages(rows: DataFrame, spec: IngestSpec) -> DataFrame:
+    """Stored rows as JSON objects in ``value``, with or without their NULLs as the
+    spec says."""
+    return encode(rows, spec.keep_nulls)
+
+
 def scan(spark: SparkSession, spec: IngestSpec, path: str, start: datetime,
          end: datetime) -> DataFrame:
     """Rows with ``start <= __time < end``, from the partitions of those days only.

@@ -157,3 +157,19 @@ def test_save_result(spark, tmp_path):
     assert spark.table("kept_rows").count() == 5
     with pytest.raises(Exception, match="ALREADY_EXISTS"):
         plans.save_result(spark.range(5), "kept_rows", str(tmp_path / "kept"))
+
+
+def test_device_column_has_a_bloom_filter(events_table):
+    import duckdb
+    found = duckdb.sql(f"""
+        SELECT path_in_schema, bool_and(bloom_filter_offset IS NOT NULL) AS has
+        FROM parquet_metadata('{events_table}/**/*.parquet') GROUP BY 1""").fetchall()
+    assert {name for name, has in found if has} == {"deviceId"}
+
+
+def test_without_rebalance_the_rows_are_the_same(spark, events_table):
+    path = scratch_dir(spark, "plain")
+    plans.load(values(spark, FOUR_DAYS), plans.EVENTS_GEO, path, "a", rebalance=False)
+    a, b = (sorted(map(tuple, plans.read_table(spark, plans.EVENTS_GEO, p).collect()))
+            for p in (path, events_table))
+    assert a == b
