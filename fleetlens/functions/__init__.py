@@ -6,12 +6,13 @@ from .geo import (bounding_box, disrupted, geo_distance_km, offset_position,
 from .json import json_value
 from .records import (device_record, event_record, random_device_id, sorted_values,
                       stable_device_id)
-from .time import (duration_micros, iso_millis, iso_text, parse_time, utc_date)
+from .time import (as_utc, duration_micros, iso_millis, iso_text, parse_time, time_literal,
+                   utc_date)
 
 __all__ = [
-    "bounding_box", "device_record", "disrupted", "duration_micros", "event_record",
+    "as_utc", "bounding_box", "device_record", "disrupted", "duration_micros", "event_record",
     "geo_distance_km", "iso_millis", "iso_text", "json_value", "offset_position",
     "pack_location", "parse_time", "random_device_id", "rejection_weights",
-    "sorted_values", "split_location", "stable_device_id", "utc_date", "within_disk",
+    "sorted_values", "split_location", "stable_device_id", "time_literal", "utc_date", "within_disk",
     "within_radius",
 ]

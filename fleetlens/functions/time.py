@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DataType, TimestampNTZType
 
 _UNIT_MICROS = {
     "microsecond": 1,
@@ -60,3 +63,19 @@ def utc_date(instant: Column | str) -> Column:
     column = F.col(instant) if isinstance(instant, str) else instant
     days = F.floor(F.unix_micros(column) / F.lit(_UNIT_MICROS["day"]))
     return F.date_from_unix_date(days.cast("int"))
+
+
+def as_utc(moment: datetime) -> datetime:
+    """``moment`` with the zone UTC; one without a zone is taken as UTC."""
+    if moment.tzinfo is None:
+        return moment.replace(tzinfo=timezone.utc)
+    return moment.astimezone(timezone.utc)
+
+
+def time_literal(moment: datetime, kind: DataType) -> Column:
+    """A literal to compare a time column of type ``kind`` with, whatever the zones
+    of the session and of the driver are."""
+    moment = as_utc(moment)
+    if isinstance(kind, TimestampNTZType):
+        return F.lit(moment.replace(tzinfo=None).isoformat(" ")).cast(kind)
+    return F.lit(moment)

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.time import duration_micros
+from ..functions.time import as_utc, duration_micros, time_literal
 from .spread import DEFAULT_SALTS, spread_join
 
 # A broadcast statistics row takes about 150 bytes; 200,000 windows are some 30 MB.
@@ -172,8 +172,9 @@ def deviation_alerts(events: DataFrame, *, key: str = "deviceId",
         raise ValueError("time_range is for batch input")
     keys = [key, *also]
     if time_range:
-        start, end = time_range
-        events = events.where((F.col(time) >= F.lit(start)) & (F.col(time) < F.lit(end)))
+        kind = events.schema[time].dataType
+        start, end = (time_literal(moment, kind) for moment in time_range)
+        events = events.where((F.col(time) >= start) & (F.col(time) < end))
     events = _counted(events, time, where, delay)
     counts = count_by_hop(events, keys, time, size, slide)
     # A stream has to shuffle twice: a reused exchange hides the watermark from the
@@ -187,6 +188,6 @@ def deviation_alerts(events: DataFrame, *, key: str = "deviceId",
 
 
 def _windows_in(time_range: tuple[datetime, datetime], size: str, slide: str) -> int:
-    start, end = time_range
+    start, end = map(as_utc, time_range)
     length = int((end - start).total_seconds() * 1_000_000)
     return (length + duration_micros(size)) // duration_micros(slide) + 2

@@ -9,7 +9,7 @@ after a failure adds nothing twice.
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +17,7 @@ from pyspark.sql.types import (ArrayType, DateType, FloatType, LongType, StringT
                                StructField, StructType, TimestampType)
 
 from ..functions.records import sorted_values
-from ..functions.time import parse_time, utc_date
+from ..functions.time import as_utc, parse_time, utc_date
 from ..sources.messages import decode, encode
 from .specs import Dimension, IngestSpec
 
@@ -111,9 +111,9 @@ def load(messages: DataFrame, spec: IngestSpec, path: str, load_id: str,
     """
     rows = shape(messages, spec)
     if start is not None:
-        rows = rows.where(F.col("__time") >= F.lit(_utc(start)))
+        rows = rows.where(F.col("__time") >= F.lit(as_utc(start)))
     if end is not None:
-        rows = rows.where(F.col("__time") < F.lit(_utc(end)))
+        rows = rows.where(F.col("__time") < F.lit(as_utc(end)))
     _write(rows, spec, path, load_id, rebalance)
 
 
@@ -173,15 +173,9 @@ def scan(spark: SparkSession, spec: IngestSpec, path: str, start: datetime,
          end: datetime) -> DataFrame:
     """Rows with ``start <= __time < end``, from the partitions of those days only.
     Datetimes without a zone are UTC."""
-    start, end = _utc(start), _utc(end)
+    start, end = as_utc(start), as_utc(end)
     rows = read_table(spark, spec, path)
     if spec.partition_by_day:
         last = (end - timedelta(microseconds=1)).date()
         rows = rows.where(F.col("__date").between(F.lit(start.date()), F.lit(last)))
     return rows.where((F.col("__time") >= F.lit(start)) & (F.col("__time") < F.lit(end)))
-
-
-def _utc(moment: datetime) -> datetime:
-    if moment.tzinfo is None:
-        return moment.replace(tzinfo=timezone.utc)
-    return moment.astimezone(timezone.utc)
