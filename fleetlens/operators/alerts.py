@@ -29,7 +29,6 @@ def count_by_hop(events: DataFrame, keys: list[str], time: str, size: str, slide
     input and a size that is a multiple of the slide; by default when size/slide
     is large. ``key_first`` hashes a stream by the keys before the window.
     """
-    ratio, rest = divmod(duration_micros(size), duration_micros(slide))
     number = F.count("*").alias("total_count")
     if events.isStreaming:
         if panes:
@@ -37,23 +36,32 @@ def count_by_hop(events: DataFrame, keys: list[str], time: str, size: str, slide
         window = F.window(time, size, slide).alias("window")
         grouping = [*keys, window] if key_first else [window, *keys]
         return events.groupBy(*grouping).agg(number)
-    if rest:
-        if panes:
-            raise ValueError("panes need a size that is a multiple of the slide")
-        start = F.window(time, size, slide)["start"]
-        return events.select(start.alias("window_start"), *keys).groupBy("window_start", *keys).agg(number)
-
-    step = F.expr(f"INTERVAL {duration_micros(slide)} MICROSECOND")
-    first = F.col("_pane") - F.expr(f"INTERVAL {duration_micros(slide) * (ratio - 1)} MICROSECOND")
-    starts = F.explode(F.sequence(first, F.col("_pane"), step)).alias("window_start")
-    parts = events.select(F.window(time, slide)["start"].alias("_pane"), *keys)
+
+    length, step = duration_micros(size), duration_micros(slide)
+    per_event, whole = -(-length // step), length % step == 0
+    if panes and not whole:
+        raise ValueError("panes need a size that is a multiple of the slide")
     if panes is None:
-        panes = ratio >= PANES_FROM
+        panes = whole and per_event >= PANES_FROM
+
+    # The start of the slide an event is in, and from it the starts of its windows.
+    pane = F.window(time, slide)["start"].alias("_pane")
+    first = F.col("_pane") - _micros(step * (per_event - 1))
+    starts = F.explode(F.sequence(first, F.col("_pane"), _micros(step))).alias("window_start")
     if panes:
-        parts = parts.groupBy("_pane", *keys).agg(F.count("*").alias("_n"))
-        number = F.sum("_n").alias("total_count")
-        return parts.select(starts, *keys, "_n").groupBy("window_start", *keys).agg(number)
-    return parts.select(starts, *keys).groupBy("window_start", *keys).agg(number)
+        parts = events.select(pane, *keys).groupBy("_pane", *keys).agg(F.count("*").alias("_n"))
+        rows, number = parts.select(starts, *keys, "_n"), F.sum("_n").alias("total_count")
+    elif whole:
+        rows = events.select(pane, *keys).select(starts, *keys)
+    else:
+        timed = events.select(pane, *keys, F.col(time).alias("_time"))
+        rows = timed.select(starts, *keys, "_time").where(
+            F.col("_time") < F.col("window_start") + _micros(length))
+    return rows.groupBy("window_start", *keys).agg(number)
+
+
+def _micros(amount: int) -> Column:
+    return F.expr(f"INTERVAL {amount} MICROSECOND")
 
 
 def with_bounds(rows: DataFrame, size: str) -> DataFrame:
@@ -62,7 +70,7 @@ def with_bounds(rows: DataFrame, size: str) -> DataFrame:
         start, end, others = F.col("window.start"), F.col("window.end"), rows.drop("window").columns
     else:
         start, others = F.col("window_start"), rows.drop("window_start").columns
-        end = start + F.expr(f"INTERVAL {duration_micros(size)} MICROSECOND")
+        end = start + _micros(duration_micros(size))
     return rows.select(start.alias("window_start"), end.alias("window_end"), *others)
 
 

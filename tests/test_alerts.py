@@ -44,7 +44,7 @@ def test_hop_counts(spark, rows, panes):
 
 
 @pytest.mark.parametrize("kind", ["TIMESTAMP", "TIMESTAMP_NTZ"])
-@pytest.mark.parametrize("size, slide", [("1 minute", "1 minute"), ("50 seconds", "20 seconds"),
+@pytest.mark.parametrize("size, slide", [("1 minute", "1 minute"), ("50 seconds", "20 seconds"), ("45 seconds", "30 seconds"),
                                          ("2 minutes", "10 seconds")])
 def test_other_sizes(spark, kind, size, slide):
     from fleetlens.functions import duration_micros
@@ -153,7 +153,7 @@ def test_time_range_selects_and_broadcasts(spark):
     assert "strategy=broadcast" not in wide._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("slide", ["30 seconds", "5 seconds"])
+@pytest.mark.parametrize("slide", ["30 seconds", "5 seconds", "25 seconds"])
 def test_events_are_read_and_shuffled_once(spark, tmp_path, slide):
     path = str(tmp_path / "events")
     frame(spark, [(s, s % 5) for s in range(200)]).write.parquet(path)
