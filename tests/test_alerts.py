@@ -169,3 +169,11 @@ def test_closed_before(spark):
                          "1 minute", "30 seconds")
     done = op.closed_before(rows, F.lit(BASE + timedelta(seconds=95)).cast("timestamp_ntz"))
     assert max(r["window_end"] for r in done.collect()) == BASE + timedelta(seconds=60)
+
+
+def test_alerts_from_counts_are_the_same(spark):
+    rows = [(s, s * s % 5) for s in range(200)] + [(s, 0) for s in range(0, 200, 2)]
+    counts = op.closed_counts(frame(spark, rows))
+    got = op.alerts_from_counts(counts, ["deviceId", "deviceLocation"], k=1, floor=0)
+    assert seen(got) == brute_force(rows, 1, 0)
+    assert got.columns == alerts(spark, rows).columns

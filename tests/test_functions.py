@@ -154,3 +154,27 @@ def test_device_ids(spark):
 def test_sorted_values_keep_duplicates(spark):
     frame = spark.createDataFrame([(["b", "a", "b"],)], "v ARRAY<STRING>")
     assert frame.select(fn.sorted_values("v")).first()[0] == ["a", "b", "b"]
+
+
+@pytest.mark.parametrize("kind", ["TIMESTAMP", "TIMESTAMP_NTZ"])
+def test_time_literals_do_not_depend_on_the_session_zone(spark, kind):
+    from datetime import timedelta, timezone
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        text = "2024-01-01 12:00:00" + ("Z" if kind == "TIMESTAMP" else "")
+        frame = spark.createDataFrame([(text,)], "t STRING").select(F.col("t").cast(kind))
+        moments = [datetime(2024, 1, 1, 12), datetime(2024, 1, 1, 12, tzinfo=timezone.utc),
+                   datetime(2024, 1, 1, 14, tzinfo=timezone(timedelta(hours=2)))]
+        for moment in moments:
+            assert frame.where(F.col("t") == fn.time_literal(moment, frame.schema["t"].dataType)).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_locate_reads_the_text_once(spark):
+    from fleetlens.operators import locate
+    frame = spark.createDataFrame([("47.37,8.52",), ("junk",)], "loc STRING")
+    rows = locate(frame, "loc").where(fn.within_radius("lat", "lon", (47.37, 8.52), 0.1))
+    assert [tuple(r) for r in rows.collect()] == [("47.37,8.52", 47.37, 8.52)]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") <= 4
