@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as registered
 from checks.compare import database, difference
+from checks.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,13 +19,13 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(QUERIES) <= set(registered.oracle_sql())
 
 
 def test_entry(spark):
     assert registered.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, connection, name):
     assert difference(spark, connection, name, SF_DIR) is None
