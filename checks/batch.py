@@ -59,9 +59,8 @@ def deviation_alerts_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir, also=("event_type",), where=None, k=1, floor=0)
 
 
-@query(sql.alerts(2 * sql.DAY, sql.DAY, 3, 0,
-                  where="event_type = 'error' AND ts >= TIMESTAMP '2024-01-08' "
-                        "AND ts < TIMESTAMP '2024-01-22'"))
+@query(sql.alerts(2 * sql.DAY, sql.DAY, 3, 0, last="a.window_start >= TIMESTAMP '2024-01-08' "
+                                                   "AND a.window_end <= TIMESTAMP '2024-01-22'"))
 def deviation_alerts_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir, floor=0,
                    time_range=(datetime(2024, 1, 8), datetime(2024, 1, 22)))
@@ -136,6 +135,26 @@ def decode_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return devices(table(spark, sf_dir, "customer")).select("deviceId", *payload.values())
 
 
+@query("""
+    SELECT event_id, CASE event_id % 6 WHEN 0 THEN date_trunc('second', ts)
+                                       WHEN 5 THEN date_trunc('day', ts) END AS ts
+    FROM events""")
+def decode_bad_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as ISO text, a number, a clock time, a year, a year after a blank, a date."""
+    ts = F.col("ts")
+    forms = [fn.iso_text(F.date_trunc("second", ts)), F.unix_millis(ts.cast("timestamp")).cast("string"),
+             F.date_format(ts, "HH:mm:ss"), F.date_format(ts, "yyyy"), F.date_format(ts, "' 'yyyy"),
+             F.date_format(ts, "yyyy-MM-dd")]
+    text = F.element_at(F.array(*forms), (F.col("event_id") % 6 + 1).cast("int"))
+    quote = F.when(F.col("event_id") % 6 == 1, "").otherwise('"')
+    sent = table(spark, sf_dir, "events").select(F.concat(
+        F.lit('{"deviceId": "'), F.col("event_id").cast("string"), F.lit('", "timestamp": '),
+        quote, text, quote, F.lit("}")).alias("value"))
+    return decode(sent, schemas.EVENTS).select(
+        F.col("deviceId").cast("bigint").alias("event_id"),
+        F.col("timestamp").cast("timestamp_ntz").alias("ts"))
+
+
 @query(f"""
     SELECT CAST(user_id AS VARCHAR) AS "deviceId", 'operatingNotification' AS "messageName",
            event_type AS "notificationName", {sql.MILLIS} AS "timestamp"
@@ -303,18 +322,14 @@ def geofence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT user_id, count(*) AS n, km < 0.5 AS disrupted,
-           CASE WHEN km < 0.5 THEN 1 ELSE 100 END AS granted,
-           CASE WHEN km < 0.5 THEN 100 ELSE 1 END AS rejected
+    SELECT user_id, count(*) AS n, km < 0.5 AS disrupted
     FROM events JOIN ({_HAVERSINE}) ON user_id = id GROUP BY ALL""")
-def disrupted_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def disrupted_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Look up the position of the device of every event and tell which are disrupted."""
     places = positions(table(spark, sf_dir, "customer")).withColumnRenamed("id", "user_id")
     counted = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"))
     near = fn.disrupted("lat", "lon", True, radius_km=0.5)
-    rows = counted.join(places, "user_id").select("user_id", "n", near.alias("disrupted"))
-    return rows.select("*", fn.rejection_weights(F.col("disrupted")).alias("w")).select(
-        "user_id", "n", "disrupted", "w.*")
+    return counted.join(places, "user_id").select("user_id", "n", near.alias("disrupted"))
 
 
 @query(f"""

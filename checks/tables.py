@@ -198,7 +198,7 @@ def scan_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT * FROM ({_STORED_EVENTS}) WHERE NOT \"__time\" < TIMESTAMP '2024-01-12'")
 def delete_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _events_table(spark, sf_dir, "delete")
-    plans.delete_interval(spark, path, date(1000, 1, 1), date(2024, 1, 12))
+    plans.delete_interval(spark, plans.EVENTS_GEO, path, date(1000, 1, 1), date(2024, 1, 12))
     return _show_events(plans.read_table(spark, plans.EVENTS_GEO, path))
 
 
@@ -212,6 +212,41 @@ def ingest_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show_events(plans.read_table(spark, plans.EVENTS_GEO, path))
 
 
+@query(f"SELECT * FROM ({_STORED_EVENTS}) WHERE \"__time\" < TIMESTAMP '2024-01-10'")
+def ingest_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load repeated with fewer days, and one repeated with no row."""
+    path, sent = _events_table(spark, sf_dir, "replaced"), _enriched_messages(spark, sf_dir)
+    plans.load(sent, plans.EVENTS_GEO, path, "second")
+    plans.load(sent, plans.EVENTS_GEO, path, "first", end=datetime(2024, 1, 10))
+    plans.load(sent.limit(0), plans.EVENTS_GEO, path, "second")
+    return _show_events(plans.read_table(spark, plans.EVENTS_GEO, path))
+
+
+@query("""
+    SELECT 1 AS step, count(*) AS n FROM customer UNION ALL
+    SELECT 2, 2 * count(*) FROM customer UNION ALL SELECT 3, 0 UNION ALL
+    SELECT 4, count(*) FROM customer""")
+def view_follows_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load, query, load, query, empty, query, load, query in one session."""
+    path, sent = scratch_dir(spark, "view"), device_messages(table(spark, sf_dir, "customer"))
+    counts = []
+
+    def count() -> None:
+        counts.append((len(counts) + 1, spark.sql("SELECT count(*) FROM DEVICES").first()[0]))
+
+    plans.load(sent, plans.DEVICES, path, "a")
+    plans.enable(spark, plans.DEVICES, path)
+    count()
+    plans.load(sent, plans.DEVICES, path, "b")
+    count()
+    plans.delete_all(spark, path)
+    count()
+    plans.load(sent, plans.DEVICES, path, "c")
+    count()
+    plans.disable(spark, plans.DEVICES)
+    return spark.createDataFrame(counts, "step INT, n BIGINT")
+
+
 # Reports --------------------------------------------------------------------------
 
 @query(f'SELECT "deviceId", latitude, longitude FROM ({_STORED_DEVICES})')

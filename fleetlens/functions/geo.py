@@ -13,8 +13,6 @@ LATITUDE_PATTERN = r"^(-?\d+(?:\.\d+)?)"
 LONGITUDE_PATTERN = r"(-?\d+(?:\.\d+)?)$"
 DISRUPTION_CENTRE = (47.37, 8.52)
 DISRUPTION_RADIUS_KM = 0.1
-WEIGHTS_NORMAL = (100, 1)
-WEIGHTS_DISRUPTED = (1, 100)
 
 
 def _col(value) -> Column:
@@ -84,15 +82,6 @@ def disrupted(lat, lon, enabled, centre: tuple[float, float] = DISRUPTION_CENTRE
     return F.coalesce(flag & within_radius(lat, lon, centre, radius_km), F.lit(False))
 
 
-def rejection_weights(is_disrupted: Column) -> Column:
-    """Struct (granted, rejected) of the weights a device draws with."""
-
-    def pair(weights: tuple[int, int]) -> Column:
-        return F.struct(F.lit(weights[0]).alias("granted"), F.lit(weights[1]).alias("rejected"))
-
-    return F.when(is_disrupted, pair(WEIGHTS_DISRUPTED)).otherwise(pair(WEIGHTS_NORMAL))
-
-
 def offset_position(lat, lon, dx_m, dy_m) -> tuple[Column, Column]:
     """Position ``dx_m`` east and ``dy_m`` north, on a plane touching the start."""
     metres_per_degree = OFFSET_RADIUS_M * math.pi / 180

@@ -1,4 +1,4 @@
-"""Time text, instants and durations. The session zone is UTC throughout."""
+"""Time text, instants and durations, whatever the session's zone is."""
 
 from __future__ import annotations
 
@@ -32,32 +32,63 @@ def duration_micros(text: str) -> int:
     return total
 
 
+def _utc_clock(instant: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss[.ffffff]`` of an instant in UTC; a time without a zone is
+    taken as it stands. Neither goes through the session's zone, whose clock has gaps."""
+    column = F.col(instant) if isinstance(instant, str) else instant
+    since = F.make_dt_interval(secs=F.unix_micros(column.cast("timestamp")).cast("decimal(24,6)") / 1_000_000)
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
+    zoneless = F.typeof(column) == "timestamp_ntz"
+    return F.when(zoneless, column.cast("timestamp_ntz")).otherwise(utc).cast("string")
+
+
 def iso_millis(instant: Column | str) -> Column:
     """ISO-8601 text, cut (not rounded) to milliseconds, with ``Z``."""
-    return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    clock = _utc_clock(instant)
+    seconds = F.replace(F.substring_index(clock, ".", 1), F.lit(" "), F.lit("T"))
+    return F.concat(seconds, F.lit("."), F.rpad(F.regexp_extract(clock, r"\.(\d{1,3})", 1), 3, "0"),
+                    F.lit("Z"))
 
 
 def iso_text(instant: Column | str, suffix: str = "Z") -> Column:
     """ISO-8601 text with as many fraction digits as the value needs, so that
     microseconds survive a trip through JSON."""
-    digits = F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.concat(F.regexp_replace(digits, r"\.?0+$", ""), F.lit(suffix))
+    return F.concat(F.replace(_utc_clock(instant), F.lit(" "), F.lit("T")), F.lit(suffix))
+
+
+_DAY_TEXT = r"\d{4}-\d{2}-\d{2}"
+_CLOCK_TEXT = r"[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?"
+_ZONE_TEXT = r" ?(?:Z|[+-]\d{2}:?\d{2})"
 
 
 def parse_time(text: Column | str, form: str = "iso") -> Column:
-    """Instant from text, NULL when it does not parse. ``form='auto'`` also
-    takes epoch milliseconds."""
+    """Instant from ISO-8601 text: a date, with a time or not, with a zone or not (then
+    UTC). Anything else is NULL: casts would also take a bare number as a year or as
+    seconds, and a bare clock time as today's. ``form='auto'`` also takes epoch
+    milliseconds."""
     column = F.col(text) if isinstance(text, str) else text
-    digits = column.rlike(r"^-?\d+$")
-    # A cast would read a bare number as a year, which ISO text never means.
-    parsed = F.when(~digits, F.try_to_timestamp(column))
+    spelled = F.regexp_replace(F.regexp_replace(column, " ?Z$", "+00:00"),
+                               r" ?([+-]\d{2}):?(\d{2})$", "$1:$2")
+    whole = (F.when(column.rlike(f"^{_DAY_TEXT}{_CLOCK_TEXT}{_ZONE_TEXT}$"), spelled)
+             .when(column.rlike(f"^{_DAY_TEXT}{_CLOCK_TEXT}$"), F.concat(column, F.lit("+00:00")))
+             .when(column.rlike(f"^{_DAY_TEXT}$"), F.concat(column, F.lit("T00:00:00+00:00"))))
+    seconds = F.regexp_replace(whole, r"^(.{10}.\d{2}:\d{2})([+-])", "$1:00$2")
+    parsed = seconds.try_cast("timestamp")
     if form == "iso":
         return parsed
     if form == "auto":
+        digits = column.rlike(r"^-?\d+$")
         return F.coalesce(parsed, F.when(digits, F.timestamp_millis(column.try_cast("bigint"))))
     raise ValueError(f"unknown time form: {form!r}")
 
 
+def parse_clock(text: Column | str) -> Column:
+    """Time without a zone from ISO-8601 text without one (or with ``Z``), else NULL."""
+    column = F.col(text) if isinstance(text, str) else text
+    plain = F.regexp_replace(column, " ?Z$", "")
+    return F.when(plain.rlike(f"^{_DAY_TEXT}(?:{_CLOCK_TEXT})?$"), plain).try_cast("timestamp_ntz")
+
+
 def utc_date(instant: Column | str) -> Column:
     """UTC calendar day of an instant, whatever the session zone is."""
     column = F.col(instant) if isinstance(instant, str) else instant

@@ -6,11 +6,9 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.time import as_utc, duration_micros, time_literal
+from ..functions.time import duration_micros, time_literal
 from .spread import DEFAULT_SALTS, spread_join
 
-# A broadcast statistics row takes about 150 bytes; 200,000 windows are some 30 MB.
-BROADCAST_WINDOWS = 200_000
 # Counting slide-wide panes first costs a second shuffle. It pays when every event
 # would otherwise be counted in at least this many windows.
 PANES_FROM = 6
@@ -167,10 +165,9 @@ def deviation_alerts(events: DataFrame, *, key: str = "deviceId",
     row has no deviation and raises no alert.
 
     Counts and statistics are joined on the window, with the counts of a window
-    spread over ``salts`` tasks. For batch input, ``time_range`` (start, end
-    exclusive) selects the events in it and bounds how many windows there can be;
-    when that is few enough, the statistics are broadcast and the counts not
-    shuffled again.
+    spread over ``salts`` tasks. For batch input, ``time_range`` (start, end) picks
+    the windows that lie in it as a whole, so that each is judged by all its events;
+    only events of that range are read.
 
     On a stream a watermark ``delay`` behind the newest event of any kind closes
     windows, and alerts are appended when their window closes.
@@ -185,17 +182,12 @@ def deviation_alerts(events: DataFrame, *, key: str = "deviceId",
         events = events.where((F.col(time) >= start) & (F.col(time) < end))
     events = _counted(events, time, where, delay)
     counts = count_by_hop(events, keys, time, size, slide)
+    if time_range:
+        counts = counts.where((F.col("window_start") >= start)
+                              & (F.col("window_start") + _micros(duration_micros(size)) <= end))
     # A stream has to shuffle twice: a reused exchange hides the watermark from the
     # operators above it, and their windows would never close. With the keys in
     # another order the two shuffles differ.
     again = count_by_hop(events, keys, time, size, slide, key_first=True) if streaming else counts
     stats = window_stats(again, integer_stats)
-    if time_range and _windows_in(time_range, size, slide) <= BROADCAST_WINDOWS:
-        stats, salts = F.broadcast(stats), 1
     return _judged(counts, stats, keys, size, k, floor, salts)
-
-
-def _windows_in(time_range: tuple[datetime, datetime], size: str, slide: str) -> int:
-    start, end = map(as_utc, time_range)
-    length = int((end - start).total_seconds() * 1_000_000)
-    return (length + duration_micros(size)) // duration_micros(slide) + 2

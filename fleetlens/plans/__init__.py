@@ -1,6 +1,7 @@
 """Store tables: how messages become rows, how rows are kept, read and reported."""
 
-from .maintenance import delete_interval, disable, enable, list_days
+from .folders import list_days
+from .maintenance import delete_all, delete_interval, disable, enable
 from .reports import (alerts_on_map, device_map, query_messages, rejected_over_time,
                       save_result)
 from .specs import ALERTS, DEVICES, EVENTS_GEO, Dimension, IngestSpec
@@ -9,7 +10,7 @@ from .store import (as_messages, load, load_stream, read_table, reset_stream, sc
 
 __all__ = [
     "ALERTS", "DEVICES", "Dimension", "EVENTS_GEO", "IngestSpec", "alerts_on_map", "as_messages",
-    "delete_interval", "device_map", "disable", "enable", "list_days", "load",
+    "delete_all", "delete_interval", "device_map", "disable", "enable", "list_days", "load",
     "load_stream", "query_messages", "read_table", "rejected_over_time", "reset_stream", "save_result",
     "scan", "shape", "shape_counted",
 ]

@@ -1,0 +1,68 @@
+"""The folders of a store table, through the file system that Spark uses."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import date
+
+from pyspark.sql import SparkSession
+
+from .specs import IngestSpec
+
+DAY = "__date="
+_WATCHERS: dict[str, dict[str, Callable[[], None]]] = {}
+
+
+def _file_system(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
+def _entries(spark: SparkSession, path: str) -> list:
+    files, root = _file_system(spark, path)
+    return list(files.listStatus(root)) if files.exists(root) else []
+
+
+def day_folders(spark: SparkSession, path: str) -> dict[date, str]:
+    """Folder of each day; the top level alone is listed."""
+    names = ((s.getPath().getName(), s) for s in _entries(spark, path))
+    return {date.fromisoformat(name.removeprefix(DAY)): s.getPath().toString() for name, s in names
+            if s.isDirectory() and name.startswith(DAY) and name[len(DAY):][:1].isdigit()}
+
+
+def list_days(spark: SparkSession, path: str) -> list[date]:
+    return sorted(day_folders(spark, path))
+
+
+def load_files(spark: SparkSession, spec: IngestSpec, path: str, load_id: str) -> dict[str, frozenset[str]]:
+    """Names of the files that a load has left, by folder."""
+    tops = [s.getPath().toString() for s in _entries(spark, path)
+            if s.isDirectory() and s.getPath().getName().startswith(DAY)]
+    found = {}
+    for top in tops if spec.partition_by_day else [path]:
+        folder = f"{top.rstrip('/')}/__load={load_id}"
+        names = frozenset(s.getPath().getName() for s in _entries(spark, folder))
+        if names:
+            found[folder] = names
+    return found
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    files, root = _file_system(spark, folder)
+    if files.exists(root) and not files.delete(root, True):
+        raise OSError(f"could not delete {folder}")
+
+
+def watch(path: str, name: str, refresh: Callable[[], None] | None) -> None:
+    """Call ``refresh`` whenever the files below ``path`` change; None ends it."""
+    of_path = _WATCHERS.setdefault(path.rstrip("/"), {})
+    if refresh is None:
+        of_path.pop(name, None)
+    else:
+        of_path[name] = refresh
+
+
+def changed(spark: SparkSession, path: str) -> None:
+    spark.catalog.refreshByPath(path)
+    for refresh in list(_WATCHERS.get(path.rstrip("/"), {}).values()):
+        refresh()

@@ -1,4 +1,4 @@
-"""Taking tables out of view and deleting time ranges."""
+"""Tables by name, and deleting rows."""
 
 from __future__ import annotations
 
@@ -6,52 +6,53 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
+from .folders import changed, day_folders, delete_folder, watch
 from .specs import IngestSpec
 from .store import read_table
 
-_DAY = "__date="
+_PATHS: dict[str, str] = {}
 
 
 def enable(spark: SparkSession, spec: IngestSpec, path: str) -> None:
-    """Make a table queryable by its name."""
-    read_table(spark, spec, path).createOrReplaceTempView(spec.name)
+    """Make a table queryable by its name. What this process loads or deletes later is
+    seen by the next query; for changes by others, enable it again."""
+    disable(spark, spec)
+
+    def register() -> None:
+        read_table(spark, spec, path).createOrReplaceTempView(spec.name)
+
+    register()
+    _PATHS[spec.name] = path
+    watch(path, spec.name, register)
 
 
 def disable(spark: SparkSession, spec: IngestSpec) -> bool:
     """Take a table out of view; its files stay."""
+    if spec.name in _PATHS:
+        watch(_PATHS.pop(spec.name), spec.name, None)
     return spark.catalog.dropTempView(spec.name)
 
 
-def _day_folders(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return files, {}
-    folders = {}
-    for status in files.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(_DAY):
-            day = name.removeprefix(_DAY)
-            if day[:1].isdigit():               # not the null partition
-                folders[date.fromisoformat(day)] = status.getPath()
-    return files, folders
-
-
-def list_days(spark: SparkSession, path: str) -> list[date]:
-    return sorted(_day_folders(spark, path)[1])
-
-
-def delete_interval(spark: SparkSession, path: str, start: date, end: date) -> list[date]:
+def delete_interval(spark: SparkSession, spec: IngestSpec, path: str, start: date,
+                    end: date) -> list[date]:
     """Delete the files of days with ``start <= day < end`` and name those days.
 
-    For tables partitioned by day. Whole day folders go, without reading a row.
-    Data frames that listed the files before have to be read anew.
+    Whole day folders go, without reading a row. Data frames that listed the files
+    before have to be read anew. A table without days is refused: use ``delete_all``.
     """
-    files, folders = _day_folders(spark, path)
+    if not spec.partition_by_day:
+        raise ValueError(f"{spec.name} has no days; delete_all empties it")
+    folders = day_folders(spark, path)
     gone = sorted(day for day in folders if start <= day < end)
     for day in gone:
-        if not files.delete(folders[day], True):
-            raise OSError(f"could not delete {folders[day].toString()}")
-    spark.catalog.refreshByPath(path)
+        delete_folder(spark, folders[day])
+    changed(spark, path)
     return gone
+
+
+def delete_all(spark: SparkSession, path: str) -> None:
+    """Empty a table: delete its folder and make a new one."""
+    delete_folder(spark, path)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(root)
+    changed(spark, path)

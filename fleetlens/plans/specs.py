@@ -34,13 +34,15 @@ class IngestSpec:
     ``paths`` names JSON paths to read besides the top-level fields; ``derived``
     adds columns computed from fields read, each as a function that returns a
     Column. ``indexed`` string columns get a Bloom filter per file, so that a search
-    for one value skips files. Only ``dimensions`` and the event time ``__time`` are kept. A message
-    whose time column is missing or unreadable takes ``missing_time``, or is
+    for one value skips files, if ``values_per_file`` says how many distinct values a
+    file is expected to have: without it a filter takes 1 MB, which is more than most
+    files of a micro-batch. Only ``dimensions`` and the event time ``__time`` are kept. A message
+    without a time column, or whose time is missing or unreadable, takes ``missing_time``, or is
     skipped when that is None.
     """
 
     name: str
-    time_column: str
+    time_column: str | None
     dimensions: tuple[Dimension, ...]
     time_form: str = "iso"                      # iso | auto
     missing_time: str | None = None
@@ -51,6 +53,7 @@ class IngestSpec:
     keep_nulls: bool = False
     rows_per_file: int = 5_000_000
     indexed: tuple[str, ...] = ("deviceId",)
+    values_per_file: int = 0
     rollup: bool = False
 
     def __post_init__(self) -> None:
@@ -66,7 +69,7 @@ class IngestSpec:
 # The three tables; names, patterns and limits are fixed values.
 DEVICES = IngestSpec(
     name="DEVICES",
-    time_column="!!!_no_such_column_!!!",
+    time_column=None,
     time_form="auto",
     missing_time="2010-01-01T00:00:00.000Z",
     dimensions=(

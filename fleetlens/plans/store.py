@@ -9,7 +9,7 @@ after a failure adds nothing twice.
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +19,7 @@ from pyspark.sql.types import (ArrayType, DateType, FloatType, LongType, StringT
 from ..functions.records import sorted_values
 from ..functions.time import as_utc, parse_time, utc_date
 from ..sources.messages import decode, encode
+from .folders import DAY, changed, delete_folder, list_days, load_files
 from .specs import Dimension, IngestSpec
 
 _TYPES = {"string": StringType(), "long": LongType(), "float": FloatType()}
@@ -28,7 +29,7 @@ def _message_schema(spec: IngestSpec) -> StructType:
     """The fields a spec reads, all as text, nested along its paths."""
     tree: dict = {}
     own = {d.name for d in spec.dimensions} - set(spec.paths) - set(spec.derived)
-    for name in sorted(own | set(spec.reads) | {spec.time_column}):
+    for name in sorted(own | set(spec.reads) | ({spec.time_column} - {None})):
         tree[name] = {}
     for path in spec.paths.values():
         level = tree
@@ -68,7 +69,8 @@ def shape(messages: DataFrame, spec: IngestSpec, on_error: str = "drop") -> Data
     rows = decode(messages, _message_schema(spec), on_error)
     read = rows.select("*", *[_at(path).alias(name) for name, path in spec.paths.items()])
     read = read.select("*", *[make().alias(name) for name, make in spec.derived.items()])
-    instant = parse_time(F.col(f"`{spec.time_column}`"), spec.time_form)
+    instant = (F.lit(None).cast("timestamp") if spec.time_column is None
+               else parse_time(F.col(f"`{spec.time_column}`"), spec.time_form))
     if spec.missing_time is not None:
         instant = F.coalesce(instant, F.to_timestamp(F.lit(spec.missing_time)))
     kept = read.select(instant.alias("__time"),
@@ -126,9 +128,18 @@ def _write(rows: DataFrame, spec: IngestSpec, path: str, load_id: str, rebalance
     writer = (rows.withColumn("__load", F.lit(load_id)).write.mode("overwrite")
               .option("partitionOverwriteMode", "dynamic")
               .option("maxRecordsPerFile", spec.rows_per_file))
-    for name in spec.indexed:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    for name in spec.indexed if spec.values_per_file else ():
+        writer = (writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+                  .option(f"parquet.bloom.filter.expected.ndv#{name}", spec.values_per_file))
+    spark = rows.sparkSession
+    before = load_files(spark, spec, path, load_id)
     writer.partitionBy(*_partitions(spec)).parquet(path)
+    after = load_files(spark, spec, path, load_id)
+    # A day that this attempt did not write still has the files of an earlier one.
+    for folder, names in before.items():
+        if after.get(folder) == names:
+            delete_folder(spark, folder)
+    changed(spark, path)
 
 
 def load_stream(messages: DataFrame, spec: IngestSpec, path: str, checkpoint: str,
@@ -152,15 +163,23 @@ def reset_stream(messages: DataFrame, spec: IngestSpec, path: str, progress: str
                  **settings) -> StreamingQuery:
     """``load_stream`` from the earliest message on, under a new identity with its
     own checkpoint below ``progress``. Rows already stored stay: delete them first
-    (``delete_interval``) to have each once."""
+    (``delete_interval`` or ``delete_all``) to have each once."""
     stream_id = uuid.uuid4().hex
     return load_stream(messages, spec, path, f"{progress.rstrip('/')}/{stream_id}", stream_id,
                        **settings)
 
 
-def read_table(spark: SparkSession, spec: IngestSpec, path: str) -> DataFrame:
-    """All rows: ``__time``, the dimensions and, where partitioned, ``__date``."""
-    return spark.read.schema(table_schema(spec)).parquet(path).drop("__load")
+def read_table(spark: SparkSession, spec: IngestSpec, path: str,
+               days: list[date] | None = None) -> DataFrame:
+    """All rows: ``__time``, the dimensions and, where partitioned, ``__date``. With
+    ``days``, only the folders of those days are listed and read."""
+    reader = spark.read.schema(table_schema(spec))
+    if days is None:
+        return reader.parquet(path).drop("__load")
+    if not days:
+        return spark.createDataFrame([], table_schema(spec)).drop("__load")
+    folders = [f"{path.rstrip('/')}/{DAY}{day.isoformat()}" for day in days]
+    return reader.option("basePath", path).parquet(*folders).drop("__load")
 
 
 def as_messages(rows: DataFrame, spec: IngestSpec) -> DataFrame:
@@ -171,11 +190,12 @@ def as_messages(rows: DataFrame, spec: IngestSpec) -> DataFrame:
 
 def scan(spark: SparkSession, spec: IngestSpec, path: str, start: datetime,
          end: datetime) -> DataFrame:
-    """Rows with ``start <= __time < end``, from the partitions of those days only.
+    """Rows with ``start <= __time < end``; only folders of those days are listed.
     Datetimes without a zone are UTC."""
     start, end = as_utc(start), as_utc(end)
-    rows = read_table(spark, spec, path)
+    days = None
     if spec.partition_by_day:
         last = (end - timedelta(microseconds=1)).date()
-        rows = rows.where(F.col("__date").between(F.lit(start.date()), F.lit(last)))
+        days = [day for day in list_days(spark, path) if start.date() <= day <= last]
+    rows = read_table(spark, spec, path, days)
     return rows.where((F.col("__time") >= F.lit(start)) & (F.col("__time") < F.lit(end)))

@@ -77,17 +77,26 @@ def alert_job(spark: SparkSession, enriched: Topic, sink: Topic, checkpoint: str
     if not one_state:
         alerts = deviation_alerts(events, where=picked, k=k, floor=floor,
                                   integer_stats=integer_stats, **settings)
-        return _start(sink.publish_stream(encode(alerts.select(*schemas.ALERTS.names))),
-                      checkpoint, trigger)
+        return _start(sink.publish_stream(encode(_shown(alerts))), checkpoint, trigger)
+
+    judging = {name: settings.pop(name) for name in ("salts",) if name in settings}
+    keys = [settings.get("key", "deviceId"), *settings.get("also", ("deviceLocation",))]
+    size = settings.get("size", "1 minute")
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        alerts = alerts_from_counts(batch, ["deviceId", "deviceLocation"],
-                                    settings.get("size", "1 minute"), k, floor, integer_stats)
-        sink.publish(encode(alerts.select(*schemas.ALERTS.names)))
+        alerts = alerts_from_counts(batch, keys, size, k, floor, integer_stats, **judging)
+        sink.publish(encode(_shown(alerts)))
 
     return fan_out(closed_counts(events, where=picked, **settings), [judge], checkpoint, trigger)
 
 
+def _shown(alerts: DataFrame) -> DataFrame:
+    """An alert's columns in the order of its messages; keys that are not grouped by are
+    left out, and others follow."""
+    named = [c for c in schemas.ALERTS.names if c in alerts.columns]
+    return alerts.select(*named, *[c for c in alerts.columns if c not in named])
+
+
 def _start(writer, checkpoint: str, trigger: dict) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 

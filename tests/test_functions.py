@@ -92,8 +92,6 @@ def test_disruption_only_where_and_when_it_is_on(spark):
     on = [r[0] for r in frame.select(fn.disrupted("lat", "lon", True)).collect()]
     assert on == [True, True, False, False]
     assert not any(r[0] for r in frame.select(fn.disrupted("lat", "lon", False)).collect())
-    weights = frame.select(fn.rejection_weights(fn.disrupted("lat", "lon", True)).alias("w"))
-    assert [tuple(r["w"]) for r in weights.collect()] == [(1, 100), (1, 100), (100, 1), (100, 1)]
 
 
 def test_offset_and_disk(spark):
@@ -123,6 +121,10 @@ def test_iso_text_keeps_what_the_value_has(spark):
     ("1686822333487", "iso", None),
     ("1686822333487", "auto", datetime(2023, 6, 15, 9, 45, 33, 487000)),
     ("soon", "iso", None), ("soon", "auto", None), (None, "auto", None), ("", "iso", None),
+    ("2023-06-15 09:45", "iso", datetime(2023, 6, 15, 9, 45)),
+    ("2023-06-15T09:45:33 +0100", "iso", datetime(2023, 6, 15, 8, 45, 33)),
+    ("2023", "iso", None), (" 2023", "auto", None), ("12:30:45", "iso", None), ("T12:30", "iso", None),
+    ("2023-06", "iso", None), ("2023-06-31", "iso", None), ("2023-06-15T25:00:00Z", "iso", None),
 ])
 def test_parse_time(spark, text, form, want):
     frame = spark.createDataFrame([(text,)], "t STRING")
@@ -130,6 +132,36 @@ def test_parse_time(spark, text, form, want):
     assert got == want
 
 
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_time_text_does_not_depend_on_the_session_zone(spark, zone):
+    text = ["2024-03-10T02:30:00Z", "2024-11-03T05:30:00.123456Z", "2024-06-15T00:00:00.5Z"]
+    kept = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame([(t,) for t in text], "t STRING")
+        instants = frame.select(fn.parse_time("t").alias("i"), fn.parse_clock("t").alias("c"))
+        got = instants.select(fn.iso_text("i"), fn.iso_text("c"), fn.iso_millis("i")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", kept)
+    assert [r[0] for r in got] == text and [r[1] for r in got] == text
+    assert [r[2] for r in got] == ["2024-03-10T02:30:00.000Z", "2024-11-03T05:30:00.123Z",
+                                   "2024-06-15T00:00:00.500Z"]
+
+
+@pytest.mark.parametrize("path", ["$.a[*].b", "a.b", "$..a", "$.a[?(@.b)]"])
+def test_json_value_refuses_other_paths_at_once(path):
+    with pytest.raises(ValueError):
+        fn.json_value("doc", path)
+
+
+def test_json_value_with_brackets_and_repeated_keys(spark):
+    docs = ['{"a": "{x", "b": 1, "b": 2}', '{"a": {"x": 1}, "b": 1, "b": 2}', '{"a": "[1"}',
+            '{"a": [1]}', '{"a": "{\\"x\\": 1}"}']
+    frame = spark.createDataFrame([(d,) for d in docs], "doc STRING")
+    got = [r[0] for r in frame.select(fn.json_value("doc", "$.a")).collect()]
+    assert got == ["{x", None, "[1", None, '{"x": 1}']
+
+
 def test_utc_date_before_and_after_the_epoch(spark):
     frame = spark.createDataFrame([("1969-12-31T23:59:59.999Z",), ("2024-02-29T00:00:00Z",)], "t STRING")
     got = [r[0] for r in frame.select(fn.utc_date(fn.parse_time("t"))).collect()]

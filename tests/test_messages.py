@@ -43,6 +43,22 @@ def test_missing_and_unreadable_fields_are_null(spark):
     assert [(r["deviceId"], r["timestamp"]) for r in rows] == [("d01", None), ("d02", None), (None, None)]
 
 
+BAD_TIMES = ["1686822333487", '"12:30:45"', '"2023"', '" 2023"', '"soon"', '"1686822333487"']
+
+
+def test_times_that_are_none_are_null(spark):
+    texts = [f'{{"deviceId": "d", "timestamp": {t}}}' for t in BAD_TIMES]
+    for mode in ("drop", "keep"):
+        rows = decode(values(spark, texts), schemas.EVENTS, mode).collect()
+        assert [(r["deviceId"], r["timestamp"]) for r in rows] == [("d", None)] * len(texts)
+
+
+@pytest.mark.parametrize("time", BAD_TIMES)
+def test_strict_decoding_stops_at_times_that_are_none(spark, time):
+    with pytest.raises(Exception, match="MALFORMED time in timestamp"):
+        decode(values(spark, [f'{{"deviceId": "d", "timestamp": {time}}}']), schemas.EVENTS, "fail").collect()
+
+
 def test_unknown_mode_is_refused(spark):
     with pytest.raises(ValueError):
         decode(values(spark, [GOOD]), schemas.EVENTS, "ignore")

@@ -1,6 +1,7 @@
 import json
 from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,7 +115,58 @@ def test_scan_reads_only_the_days_asked_for(spark, events_table):
     assert all("__date=2024-03-02" in f[0] or "__date=2024-03-03" in f[0] for f in folders)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     # An end at midnight does not open the next day.
-    assert "PartitionFilters: [isnotnull(__date" in plan and "2024-03-04)" not in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "2024-03-04" not in plan.split("Location")[1].split("]")[0]
+
+
+def test_scan_lists_only_the_days_asked_for(spark, events_table):
+    rows = plans.scan(spark, plans.EVENTS_GEO, events_table, datetime(2024, 3, 2), datetime(2024, 3, 3))
+    assert all("__date=2024-03-02" in f for f in rows.inputFiles()) and rows.count() == 3
+    assert plans.scan(spark, plans.EVENTS_GEO, events_table, datetime(2025, 1, 1),
+                      datetime(2025, 1, 2)).count() == 0
+
+
+def test_a_repeated_load_replaces_all_its_days(spark, events_table):
+    count = lambda: plans.read_table(spark, plans.EVENTS_GEO, events_table).count()
+    plans.load(values(spark, FOUR_DAYS[:1]), plans.EVENTS_GEO, events_table, "b")
+    plans.load(values(spark, FOUR_DAYS[:2]), plans.EVENTS_GEO, events_table, "a")
+    assert count() == 3
+    plans.load(values(spark, []), plans.EVENTS_GEO, events_table, "a")
+    assert count() == 1
+
+
+def test_a_view_follows_loads_and_deletions(spark, events_table):
+    plans.enable(spark, plans.EVENTS_GEO, events_table)
+    count = lambda: spark.sql("SELECT count(*) FROM EVENTS_GEO").first()[0]
+    assert count() == 12
+    plans.load(values(spark, FOUR_DAYS[:2]), plans.EVENTS_GEO, events_table, "more")
+    assert count() == 14
+    plans.delete_interval(spark, plans.EVENTS_GEO, events_table, date(2024, 3, 1), date(2024, 3, 3))
+    assert count() == 6
+    plans.delete_all(spark, events_table)
+    assert count() == 0
+    plans.disable(spark, plans.EVENTS_GEO)
+
+
+def test_a_table_without_days_is_emptied_as_a_whole(spark):
+    path = scratch_dir(spark, "devices")
+    for load_id in ("a", "b"):
+        plans.load(values(spark, [device(1)]), plans.DEVICES, path, load_id)
+    with pytest.raises(ValueError, match="delete_all"):
+        plans.delete_interval(spark, plans.DEVICES, path, date(1000, 1, 1), date(3000, 1, 1))
+    plans.delete_all(spark, path)
+    plans.load(values(spark, [device(1)]), plans.DEVICES, path, "c")
+    assert plans.read_table(spark, plans.DEVICES, path).count() == 1
+
+
+def test_filters_do_not_blow_files_up(spark):
+    texts = [enriched(f"device-{n}", f"2024-03-{1 + n % 20:02d}T12:00:00Z") for n in range(3000)]
+    sizes = {}
+    for label, expected in (("with", 150), ("without", 0)):
+        path = scratch_dir(spark, label)
+        plans.load(values(spark, texts), replace(plans.EVENTS_GEO, values_per_file=expected), path, "a")
+        files = plans.read_table(spark, plans.EVENTS_GEO, path).inputFiles()
+        sizes[label] = sum(Path(f.removeprefix("file://")).stat().st_size for f in files)
+    assert sizes["with"] <= 1.3 * sizes["without"]
 
 
 def test_scan_takes_times_with_a_zone(spark, events_table):
@@ -125,12 +177,12 @@ def test_scan_takes_times_with_a_zone(spark, events_table):
 
 
 def test_delete_interval(spark, events_table):
-    gone = plans.delete_interval(spark, events_table, date(1000, 1, 1), date(2024, 3, 3))
+    gone = plans.delete_interval(spark, plans.EVENTS_GEO, events_table, date(1000, 1, 1), date(2024, 3, 3))
     assert gone == [date(2024, 3, 1), date(2024, 3, 2)]
     left = plans.read_table(spark, plans.EVENTS_GEO, events_table)
     assert left.count() == 6 and left.agg(F.min("__date")).first()[0] == date(2024, 3, 3)
-    assert plans.delete_interval(spark, events_table, date(2025, 1, 1), date(2026, 1, 1)) == []
-    assert plans.delete_interval(spark, scratch_dir(spark, "none"), date(2025, 1, 1), date(2026, 1, 1)) == []
+    assert plans.delete_interval(spark, plans.EVENTS_GEO, events_table, date(2025, 1, 1), date(2026, 1, 1)) == []
+    assert plans.delete_interval(spark, plans.EVENTS_GEO, scratch_dir(spark, "none"), date(2025, 1, 1), date(2026, 1, 1)) == []
 
 
 def test_disable_keeps_the_data(spark, events_table):
@@ -159,8 +211,10 @@ def test_save_result(spark, tmp_path):
         plans.save_result(spark.range(5), "kept_rows", str(tmp_path / "kept"))
 
 
-def test_device_column_has_a_bloom_filter(events_table):
+def test_device_column_has_a_bloom_filter(spark):
     import duckdb
+    events_table = scratch_dir(spark, "filtered")
+    plans.load(values(spark, FOUR_DAYS), replace(plans.EVENTS_GEO, values_per_file=100), events_table, "a")
     found = duckdb.sql(f"""
         SELECT path_in_schema, bool_and(bloom_filter_offset IS NOT NULL) AS has
         FROM parquet_metadata('{events_table}/**/*.parquet') GROUP BY 1""").fetchall()
