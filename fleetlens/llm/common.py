@@ -22,6 +22,17 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def text_of(column: str | Column) -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

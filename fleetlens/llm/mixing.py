@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fleetlens.llm.common import saved, text_of, word_count
+from fleetlens.llm.common import saved, text_of, unused, word_count
 
 #: Fractions that meet in one bucket of the tree.
 FAN_IN = 4096
@@ -160,12 +160,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), limit: int = 3, s
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The documents of the mix, each repeated as often as it is taken."""
+    names = unused(docs, "own_id", "key", "of", "times", "turn")
+    own_id, key, of, times, turn = names
     copies = mix(docs, **settings).where("copies > 0").select(
-        F.col("id").alias("_id"), F.col("digest").alias("_digest"),
-        F.col("source").alias("_source"), F.col("copies").alias("_copies"))
-    at = lambda name, default: F.col(settings.get(name, default))
-    joined = docs.join(saved(copies, "copies"), at("id_col", "doc_id").eqNullSafe(F.col("_id"))
-                       & (F.xxhash64(text_of(at("text_col", "text"))) == F.col("_digest"))
-                       & at("source_col", "source").eqNullSafe(F.col("_source")))
-    return (joined.withColumn("_turn", F.explode(F.sequence(F.lit(1), "_copies")))
-            .select(*[docs[c] for c in docs.columns]))
+        F.col("id").alias(own_id), F.col("digest").alias(key), F.col("source").alias(of),
+        F.col("copies").alias(times))
+    at = lambda name, default: docs[settings.get(name, default)]
+    joined = docs.join(saved(copies, "copies"), at("id_col", "doc_id").eqNullSafe(F.col(own_id))
+                       & (F.xxhash64(text_of(at("text_col", "text"))) == F.col(key))
+                       & at("source_col", "source").eqNullSafe(F.col(of)))
+    return joined.withColumn(turn, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)

@@ -116,6 +116,9 @@ class Rewritten:
         if not edits:
             return self
         texts, starts, ends, news, free = [], [], [], [], 0
+        for a, b, by in edits:
+            if not by:  # what is left out leaves its mark on both neighbours
+                self.new[max(0, a - 1):b + 1] = True
         for a, b, by in [*edits, (len(self.text), len(self.text), "")]:
             texts += [self.text[free:a], by]
             for parts, own, value in ((starts, self.start, self.start[a] if by else 0),
