@@ -14,10 +14,11 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetlens.llm.common import saved, text_of
 from fleetlens.llm.components import components
+from fleetlens.llm.leaders import leader_rounds
 
 SHINGLE = 7
 #: A pair at a similarity of 0.8 has a band in common in 99 of 100 cases, at 0.9 in
@@ -26,7 +27,6 @@ BANDS, ROWS = 9, 4
 PERCENT = 80
 #: Bits of a broadcast filter: 8 MB. A full one only lets more rows through.
 _FILTER_BITS, _PAGE_BITS = 26, 15
-_FAN = 4
 
 
 def line_form(line: Column) -> Column:
@@ -101,7 +101,8 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
               .select("a", "b", shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y")))
     sized = joined.select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"),
                           (F.size("x") + F.size("y")).alias("sum"))
-    return sized.where(100 * F.col("shared") >= percent * (F.col("sum") - F.col("shared"))).select("a", "b")
+    return sized.where(100 * F.col("shared") >= percent * (F.col("sum") - F.col("shared"))).select(
+        "a", "b", F.lit(True).alias("hit"))
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
@@ -112,8 +113,8 @@ def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
 
     Two lines are alike if the Jaccard similarity of their sets of 7-character shingles is
     ``percent`` or more; a line of up to 7 characters is its only shingle. Lines of a bucket
-    are compared with its leader; those not linked to it with 4 leaders of their own, then
-    16, and so on, until each is linked or has led. The first line is the one of the smallest
+    are compared with its leader; those not linked to it with further leaders, until each is
+    linked or has led. The first line is the one of the smallest
     id, then text and place. Blank lines and null texts hold no line. Ids are integers; null
     ids come last. Rows repeated with their id and text are one document. Other columns are
     not read.
@@ -130,27 +131,8 @@ def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     texts = saved(_passing(lines.select("key", "line"), "key",
                            saved(_filter_of(among, "key"), "filter"))
                   .dropDuplicates(["key"]).join(among, "key", "left_semi"), "texts")
-    pairs = saved(active.where("key != lo").select("bucket", F.col("key").alias("a"),
-                                                   F.col("lo").alias("b")), "pairs")
-    links, led, leaders = None, None, 1
-    while True:
-        found = saved(_similar(pairs.select("a", "b").distinct(), texts, percent), "linked")
-        links = found if links is None else links.unionByName(found)
-        alone = (pairs.join(found.withColumn("_hit", F.lit(True)), ["a", "b"], "left")
-                 .groupBy("bucket", "a").agg(F.max("_hit").alias("hit")).where("hit is null")
-                 .select("bucket", F.col("a").alias("key")))
-        if led is not None:  # a leader has met all others of its bucket
-            alone = alone.join(led, (F.col("bucket") == F.col("of")) & (F.col("key") == F.col("b")),
-                               "left_anti")
-        rest = saved(alone, "rest")
-        leaders *= _FAN
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("key"))
-        led = saved(rest.withColumn("rank", rank).where(F.col("rank") <= leaders)
-                    .select(F.col("bucket").alias("of"), F.col("key").alias("b")), "leaders")
-        pairs = saved(rest.join(led, (F.col("bucket") == F.col("of")) & (F.col("key") > F.col("b")))
-                      .select("bucket", F.col("key").alias("a"), "b"), "pairs")
-        if pairs.isEmpty():
-            break
+    first = active.where("key != lo").select("bucket", F.col("key").alias("a"), F.col("lo").alias("b"))
+    links = leader_rounds(first, lambda pairs: _similar(pairs, texts, percent))
     return _placed(lines, components(links))
 
 

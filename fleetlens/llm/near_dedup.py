@@ -3,7 +3,7 @@
 Documents with the same shingle set are one class, and only its representative goes on.
 Representatives that share a band of signature coordinates form a bucket. Buckets are not
 expanded into pairs: every member is compared with the bucket's leader on the full sets.
-Members that are not even related to it form a bucket of their own, with the next leader.
+Members that are not even related to it are compared with further leaders.
 What remains are related documents of one family that are linked to different leaders, or
 to none; those are compared in blocks, each pair of blocks in one task, and only across
 components.
@@ -16,10 +16,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from fleetlens.llm.common import saved, text_of
 from fleetlens.llm.components import components
+from fleetlens.llm.leaders import leader_rounds
 from fleetlens.llm.shingles import Shingler, blocks, circulant_signatures, mix64
 
 #: Coordinates of a signature are cut into bands of ROWS: at a similarity of 0.8 a pair
@@ -170,6 +171,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     decision; an id with several texts belongs to the component of each. Sets are compared by
     64-bit shingle hashes. Other columns are not read.
     """
+    if percent < RELATED:
+        raise ValueError(f"links need a similarity of {RELATED} percent or more")
     rows_in = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
     rows_in = rows_in.withColumn("text_key", F.xxhash64("text"))
     described = saved(_described(rows_in, shingle_words, bands, rows), "described")
@@ -178,27 +181,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
                     .agg(F.min("id").alias("rep")), "classes")
     reps = (described.join(classes.withColumnRenamed("set_key", "key"),
                            (F.col("set_key") == F.col("key")) & (F.col("id") == F.col("rep")))
-            .select("rep", F.explode("bands").alias("bucket")).distinct())
+            .select("rep", F.explode("bands").alias("bucket")))
     active = _shared_buckets(saved(reps, "bands"))
     candidates = saved(active.select(F.col("member").alias("id")).distinct(), "candidates")
     wanted = rows_in.join(candidates, "id")
     sets = saved(_full_sets(wanted, shingle_words).dropDuplicates(["id", "hashes"]), "sets")
-    verified = None
-    while True:
-        pairs = active.where("member != leader").select(
-            F.col("member").alias("a"), F.col("leader").alias("b")).distinct()
-        if verified is not None:
-            pairs = pairs.join(verified, ["a", "b"], "left_anti")
-        checked = saved(_shared(pairs, sets), "verified")
-        verified = checked if verified is None else verified.unionByName(checked)
-        related = verified.where(f"100 * shared >= {RELATED} * together").select(
-            F.col("a").alias("member"), F.col("b").alias("leader"))
-        rest = active.where("member != leader").join(related, ["member", "leader"], "left_anti")
-        active = _shared_buckets(saved(rest.select(F.col("member").alias("rep"), "bucket"), "rest"))
-        if active.isEmpty():
-            break
+    first = active.where("member != leader").select("bucket", F.col("member").alias("a"),
+                                                    F.col("leader").alias("b"))
+    verified = leader_rounds(first, lambda pairs: _shared(pairs, sets).withColumn(
+        "hit", F.expr(f"100 * shared >= {RELATED} * together")))
     links = verified.where(f"100 * shared >= {percent} * together").select("a", "b")
-    families = components(verified.where(f"100 * shared >= {RELATED} * together"))
+    families = components(verified.where("hit"))
     links = saved(links, "links")
     across = saved(_across_components(families, components(links), sets, percent), "across")
     linked = components(links.unionByName(across))
