@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetlens.llm.common import saved, text_of
+from fleetlens.llm.common import saved, text_of, unused
 from fleetlens.llm.components import components
 from fleetlens.llm.leaders import leader_rounds
 from fleetlens.llm.shingles import Shingler, blocks, circulant_signatures, mix64
@@ -41,7 +41,8 @@ def _described(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
             for begin, end in blocks(texts):
                 value, bounds = shingler.sets(texts[begin:end])
                 n = np.diff(bounds)
-                sums = [np.concatenate(([0], np.cumsum(mix64(value ^ np.uint64(seed)), dtype=np.uint64)))
+                none = np.zeros(1, np.uint64)
+                sums = [np.concatenate((none, np.cumsum(mix64(value ^ np.uint64(seed)))))
                         for seed in (0x2545F4914F6CDD1D, 0x27D4EB2F165667C5)]
                 keys = np.column_stack([s[bounds[1:]] - s[bounds[:-1]] for s in sums])
                 signature = circulant_signatures(value, bounds, bands * rows).astype(np.uint64)
@@ -217,8 +218,9 @@ def _shared_buckets(reps: DataFrame) -> DataFrame:
 def without_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """The rows that are kept."""
     id_col, text_col = settings.get("id_col", "doc_id"), settings.get("text_col", "text")
+    own_id, key = unused(docs, "own_id", "key")
     dropped = near_duplicates(docs, **settings).where("not kept").select(
-        F.col(id_col).alias("_id"), F.col("text_key").alias("_key"))
+        F.col(id_col).alias(own_id), F.col("text_key").alias(key))
     return docs.join(saved(dropped.distinct(), "dropped"),
-                     docs[id_col].eqNullSafe(F.col("_id"))
-                     & (F.xxhash64(text_of(text_col)) == F.col("_key")), "left_anti")
+                     docs[id_col].cast("bigint").eqNullSafe(F.col(own_id))
+                     & (F.xxhash64(text_of(text_col)) == F.col(key)), "left_anti")
