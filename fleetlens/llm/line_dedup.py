@@ -16,7 +16,7 @@ import random
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetlens.llm.common import saved, text_of
+from fleetlens.llm.common import saved, text_of, unused
 from fleetlens.llm.components import components
 from fleetlens.llm.leaders import leader_rounds
 
@@ -158,17 +158,18 @@ def without_repeated_lines(docs: DataFrame, percent: int = PERCENT, id_col: str
     gone = places.where(~(F.col("id").eqNullSafe(F.col("first_id"))
                           & (F.col("text_key") == F.col("first_key"))
                           & (F.col("line_no") == F.col("first_line"))))
-    gone = saved(gone.groupBy(F.col("id").alias("_id"), F.col("text_key").alias("_key"))
-                 .agg(F.collect_set("line_no").alias("_gone")), "gone")  # of one document
-    joined = docs.join(gone, docs[id_col].cast("bigint").eqNullSafe(F.col("_id"))
-                       & (F.xxhash64(text_of(text_col)) == F.col("_key")), "left")
+    own_id, key, lost, lines = unused(docs, "own_id", "key", "lost", "lines")
+    gone = saved(gone.groupBy(F.col("id").alias(own_id), F.col("text_key").alias(key))
+                 .agg(F.collect_set("line_no").alias(lost)), "gone")  # of one document
+    joined = docs.join(gone, docs[id_col].cast("bigint").eqNullSafe(F.col(own_id))
+                       & (F.xxhash64(text_of(text_col)) == F.col(key)), "left")
     parts = F.split(F.col(text_col), "\n")
-    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone")))
-    rest = F.array_join(F.transform(kept, lambda i: F.get(F.col("_parts"), i)), "\n")
-    joined = joined.withColumn("_parts", F.when(F.col("_gone").isNotNull(), parts))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(rest)
+    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(lost)))
+    rest = F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n")
+    joined = joined.withColumn(lines, F.when(F.col(lost).isNotNull(), parts))
+    text = F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(rest)
     out = {text_col: text}
     if length_col in docs.columns:
-        out[length_col] = F.when(F.col("_gone").isNull(), docs[length_col]).otherwise(
+        out[length_col] = F.when(F.col(lost).isNull(), F.col(length_col)).otherwise(
             F.length(rest)).cast(docs.schema[length_col].dataType)
-    return joined.select(*[out[c].alias(c) if c in out else docs[c] for c in docs.columns])
+    return joined.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])
