@@ -90,17 +90,20 @@ def _passing(rows: DataFrame, column: str, bits: DataFrame) -> DataFrame:
             .where(bit == 1).drop("page", "bits"))
 
 
+def _set_of(line: Column) -> Column:
+    return F.when(F.length(line) <= SHINGLE, F.array(line)).otherwise(
+        F.array_distinct(_shingles(line, "")))
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose exact similarity is ``percent`` or more."""
-    def shingles(line: Column) -> Column:
-        return F.when(F.length(line) <= SHINGLE, F.array(line)).otherwise(
-            F.array_distinct(_shingles(line, "")))
-
-    joined = (pairs.join(texts.select(F.col("key").alias("a"), F.col("line").alias("x")), "a")
-              .join(texts.select(F.col("key").alias("b"), F.col("line").alias("y")), "b")
-              .select("a", "b", shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y")))
-    sized = joined.select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"),
-                          (F.size("x") + F.size("y")).alias("sum"))
+    """The pairs ``a, b`` whose exact similarity is ``percent`` or more. Sets of too different
+    sizes cannot be that similar, and are not taken from their lines again."""
+    sides = [texts.select(F.col("key").alias(key), F.col("line").alias(line), F.col("n").alias(n))
+             for key, line, n in (("a", "x", "nx"), ("b", "y", "ny"))]
+    sized = (pairs.join(sides[0], "a").join(sides[1], "b")
+             .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+             .select("a", "b", F.size(F.array_intersect(_set_of(F.col("x")), _set_of(F.col("y"))))
+                     .alias("shared"), (F.col("nx") + F.col("ny")).alias("sum")))
     return sized.where(100 * F.col("shared") >= percent * (F.col("sum") - F.col("shared"))).select(
         "a", "b", F.lit(True).alias("hit"))
 
@@ -130,7 +133,8 @@ def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     among = saved(active.select("key").distinct(), "among")
     texts = saved(_passing(lines.select("key", "line"), "key",
                            saved(_filter_of(among, "key"), "filter"))
-                  .dropDuplicates(["key"]).join(among, "key", "left_semi"), "texts")
+                  .dropDuplicates(["key"]).join(among, "key", "left_semi")
+                   .withColumn("n", F.size(_set_of(F.col("line")))), "texts")
     first = active.where("key != lo").select("bucket", F.col("key").alias("a"), F.col("lo").alias("b"))
     links = leader_rounds(first, lambda pairs: _similar(pairs, texts, percent))
     return _placed(lines, components(links))
