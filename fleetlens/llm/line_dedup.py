@@ -2,8 +2,9 @@
 
 Lines are compared by their sets of character shingles. Every distinct line gets minima
 of hashed shingles under many permutations; lines that agree on a band of minima form a
-bucket, whose members are compared with its leaders by exact Jaccard similarity. Links
-are joined to components, and of each component the first line in document order stays.
+bucket, whose members are compared with its leaders by exact Jaccard similarity. Lines
+that are near a leader, but not linked to it, are compared in blocks with those that are.
+Links are joined to components, and of each component the first line in document order stays.
 
 Line text is never shuffled as a whole. What leaves the scan is a signature per distinct
 line, then two numbers per band; texts are fetched for lines that share a bucket. Filters
@@ -25,6 +26,8 @@ SHINGLE = 7
 #: 9,999 of 10,000.
 BANDS, ROWS = 9, 4
 PERCENT = 80
+#: Lines in a block, and shingles in it, about.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 19
 #: Bits of a broadcast filter: 8 MB. A full one only lets more rows through.
 _FILTER_BITS, _PAGE_BITS = 26, 15
 
@@ -95,17 +98,85 @@ def _set_of(line: Column) -> Column:
         F.array_distinct(_shingles(line, "")))
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose exact similarity is ``percent`` or more. Sets of too different
-    sizes cannot be that similar, and are not taken from their lines again."""
+def _hashes(line: Column) -> Column:
+    """The set as 64-bit hashes, which take less room."""
+    return F.transform(_set_of(line), lambda s: F.xxhash64(s))
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, percent: int, near: int) -> DataFrame:
+    """The pairs ``a, b`` whose exact similarity is ``near`` or more, and whether it is a
+    ``hit``: ``percent`` or more. Sets of too different sizes cannot be that similar, and are
+    not taken from their lines again."""
     sides = [texts.select(F.col("key").alias(key), F.col("line").alias(line), F.col("n").alias(n))
              for key, line, n in (("a", "x", "nx"), ("b", "y", "ny"))]
     sized = (pairs.join(sides[0], "a").join(sides[1], "b")
-             .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+             .where(100 * F.least("nx", "ny") >= near * F.greatest("nx", "ny"))
              .select("a", "b", F.size(F.array_intersect(_set_of(F.col("x")), _set_of(F.col("y"))))
                      .alias("shared"), (F.col("nx") + F.col("ny")).alias("sum")))
-    return sized.where(100 * F.col("shared") >= percent * (F.col("sum") - F.col("shared"))).select(
-        "a", "b", F.lit(True).alias("hit"))
+    together = F.col("sum") - F.col("shared")
+    return sized.where(100 * F.col("shared") >= near * together).select(
+        "a", "b", (100 * F.col("shared") >= percent * together).alias("hit"))
+
+
+def _dealt(members: DataFrame, n_own: str, n_other: str) -> DataFrame:
+    """``members`` (``b, key``) in blocks, each once for every block of the other side."""
+    return (members.withColumn("own", F.pmod(F.xxhash64("key"), F.col(n_own)).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col(n_other) - 1))))
+
+
+def _across(compared: DataFrame, linked: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between components: lines near a leader that are like a line linked to it.
+
+    A line that is linked to a leader is not compared further in that bucket. What is like it
+    is, as distances add up, near the same leader: at ``2 * percent - 100`` or more. So these
+    are all the pairs of a bucket that no leader has met; those of one component are left out.
+    """
+    of = linked.select(F.col("node"), F.col("component"))
+    near = (compared.where("not hit").select("a", "b").distinct()
+            .join(of.toDF("a", "ca"), "a", "left").join(of.toDF("b", "cb"), "b", "left")
+            .select("b", F.col("a").alias("key"), F.coalesce("ca", "a").alias("ca"),
+                    F.coalesce("cb", "b").alias("cb")).where("ca != cb"))
+    near = saved(near, "near")
+    held = saved(compared.where("hit").select("b", F.col("a").alias("key")).distinct()
+                 .join(near.select("b").distinct(), "b", "left_semi"), "held")
+    sizes = texts.select("key", "n")
+
+    def blocks(members: DataFrame, name: str) -> DataFrame:
+        return (members.join(sizes, "key").groupBy("b").agg(F.ceil(F.greatest(
+            F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias(name)))
+
+    counts = saved(blocks(near, "n_near").join(blocks(held, "n_held"), "b"), "blocks")
+    left = (_dealt(near.join(counts, "b"), "n_near", "n_held")
+            .select("b", F.col("own").alias("i"), F.col("other").alias("j"), "key", "ca", "cb"))
+    right = (_dealt(held.join(counts, "b"), "n_held", "n_near")
+             .select("b", F.col("other").alias("i"), F.col("own").alias("j"), "key",
+                     F.lit(None).cast("bigint").alias("ca"), F.lit(None).cast("bigint").alias("cb")))
+    both = left.unionByName(right).join(texts.select("key", _hashes(F.col("line")).alias("s")), "key")
+    grouped = both.groupBy("b", "i", "j").agg(
+        F.max("cb").alias("cb"),
+        F.collect_list(F.when(F.col("ca").isNotNull(), F.struct("ca", "s"))).alias("xs"),
+        F.collect_list(F.when(F.col("ca").isNull(), F.col("s"))).alias("ys"))
+
+    def like(x: Column, y: Column) -> Column:
+        n, m = F.size(x), F.size(y)
+        shared = F.size(F.array_intersect(x, y))
+        return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+                & (100 * shared >= percent * (n + m - shared)))
+
+    found = F.filter("xs", lambda x: F.exists("ys", lambda y: like(x["s"], y)))
+    return grouped.select("cb", F.explode(F.array_distinct(F.transform(found, lambda x: x["ca"])))
+                          .alias("ca")).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+
+
+def _joined(compared: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``node, component`` of the lines linked by leaders or across components."""
+    linked = components(compared.where("hit"))
+    more = saved(_across(compared, linked, texts, percent), "across")
+    if more.isEmpty():
+        return linked
+    upper = components(more).toDF("one", "above")
+    return linked.join(upper, F.col("component") == F.col("one"), "full").select(
+        F.coalesce("node", "one").alias("node"), F.coalesce("above", "component").alias("component"))
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
@@ -117,7 +188,8 @@ def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     Two lines are alike if the Jaccard similarity of their sets of 7-character shingles is
     ``percent`` or more; a line of up to 7 characters is its only shingle. Lines of a bucket
     are compared with its leader; those not linked to it with further leaders, until each is
-    linked or has led. The first line is the one of the smallest
+    linked or has led. Lines near a leader are then compared with those linked to it, by 64-bit
+    hashes of shingles, so that components are those of all pairs of a bucket. The first line is the one of the smallest
     id, then text and place. Blank lines and null texts hold no line. Ids are integers; null
     ids come last. Rows repeated with their id and text are one document. Other columns are
     not read.
@@ -136,8 +208,9 @@ def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
                   .dropDuplicates(["key"]).join(among, "key", "left_semi")
                    .withColumn("n", F.size(_set_of(F.col("line")))), "texts")
     first = active.where("key != lo").select("bucket", F.col("key").alias("a"), F.col("lo").alias("b"))
-    links = leader_rounds(first, lambda pairs: _similar(pairs, texts, percent))
-    return _placed(lines, components(links))
+    near = max(0, 2 * percent - 100)
+    compared = leader_rounds(first, lambda pairs: _similar(pairs, texts, percent, near))
+    return _placed(lines, _joined(saved(compared.distinct(), "compared"), texts, percent))
 
 
 def _placed(lines: DataFrame, found: DataFrame) -> DataFrame:

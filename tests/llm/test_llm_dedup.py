@@ -179,6 +179,53 @@ def test_line_components(spark):
     assert {((r.id, r.line_no), (r.first_id, r.first_line)) for r in got} == line_brute(rows)
 
 
+def edited(draw, line, n):
+    """The line with ``n`` letters put in place of others."""
+    line = list(line)
+    for at in draw.sample(range(len(line)), n):
+        line[at] = draw.choice("abcdefghijklmnopqrstuvwxyz")
+    return "".join(line)
+
+
+def prose(draw, n_words):
+    return " ".join("".join(draw.choices("abcdefghijklmnop", k=draw.randint(2, 8))) for _ in range(n_words))
+
+
+def test_families_of_lines(spark):
+    """Families of which many members are not like their leader, but like one that is."""
+    draw = random.Random(9)
+    rows = []
+    for family in range(6):
+        base = prose(draw, 40)
+        lines = [edited(draw, base, draw.choice([0, 1, 2, 3, 4, 5])) for _ in range(40)]
+        rows += [(family * 1000 + n, line) for n, line in enumerate(lines)]
+    got = line_dedup.line_components(frame(spark, rows)).collect()
+    assert {((r.id, r.line_no), (r.first_id, r.first_line)) for r in got} == line_brute(rows)
+
+
+def test_links_across_components(spark):
+    """Every pair that leaders of one bucket leave out is found, also in many blocks."""
+    draw = random.Random(4)
+    rows = []
+    for _ in range(5):
+        base = prose(draw, 30)
+        rows += [edited(draw, base, draw.choice([0, 2, 3, 4, 5])) for _ in range(50)]
+    sets = {n: frozenset(t[j:j + 7] for j in range(len(t) - 6)) for n, t in enumerate(rows)}
+    texts = spark.createDataFrame([(n, t, len(sets[n])) for n, t in enumerate(rows)], "key BIGINT, line STRING, n INT")
+    pairs = spark.createDataFrame([(0, n, 0) for n in range(1, len(rows))], "bucket BIGINT, a BIGINT, b BIGINT")
+    compared = line_dedup.leader_rounds(pairs, lambda p: line_dedup._similar(p, texts, 80, 60)).distinct()
+    want = roots(sets, similar(sets, 80))
+    for block in (256, 7):
+        line_dedup.BLOCK, before = block, line_dedup.BLOCK
+        try:
+            got = {r.node: r.component for r in line_dedup._joined(compared, texts, 80).collect()}
+        finally:
+            line_dedup.BLOCK = before
+        assert {n: got.get(n, n) for n in sets} == want
+    direct = roots(sets, [(r.a, r.b) for r in compared.where("hit").collect()])
+    assert direct != want  # leaders alone lose some
+
+
 def test_without_repeated_lines(spark):
     rows = [(1, "keep this line as it is\nand this other one\n\nkeep this line as it is"),
             (2, "and this other one\nKeep this line as it is\nnew here"), (3, "and this other one"),
