@@ -46,32 +46,25 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.select("id", "text_key", "line_no", "line", F.xxhash64("line").alias("key"))
 
 
-def _shingles(line: Column, before: str) -> Column:
-    """Shingles that follow ``before``: "" for all of them."""
-    return F.regexp_extract_all(line, F.lit(f"(?s){before}(?=(.{{{SHINGLE}}}))"), 1)
+def _shingles(line: Column) -> Column:
+    return F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), 1)
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
-    """``key, form, m0, m1, ...``. A permutation is a hash combined with a constant by XOR;
+    """``key, m0, m1, ...``. A permutation is a hash combined with a constant by XOR;
     the constants' leading bits differ, so that minima come from different shingles.
 
-    In a line of many words, the shingles at word starts stand for all: similar lines have
-    similar ones of them too, and they are a sixth. Lines of few words take all shingles,
-    and those in between get a signature of either form.
+    Every line takes all its shingles: two forms of signature would part pairs that lie on
+    both sides of the bound between them.
     """
     n = BANDS * ROWS
     draw = random.Random(11)
     masks = [(((i * 64 // n) << 58) | draw.getrandbits(58)) - (1 << 63) for i in range(n)]
-    line, long = F.col("line"), F.length("line")
-    gaps = long - F.length(F.replace(line, F.lit(" "), F.lit("")))
-    dense = gaps * 32 >= long
-    all_of = F.when(long <= SHINGLE, F.array(line)).otherwise(_shingles(line, ""))
-    forms = F.array(F.when(~dense | (gaps < 10), all_of),
-                    F.when(dense & (gaps >= 7), _shingles(F.concat(F.lit(" "), line), " ")))
-    hashed = (lines.select("key", F.posexplode(forms).alias("form", "shingles"))
-              .select("key", "form", F.explode("shingles").alias("shingle"))
-              .select("key", "form", F.xxhash64("shingle").alias("h")))
-    return hashed.groupBy("key", "form").agg(*[
+    line = F.col("line")
+    all_of = F.when(F.length(line) <= SHINGLE, F.array(line)).otherwise(_shingles(line))
+    hashed = (lines.select("key", F.explode(all_of).alias("shingle"))
+              .select("key", F.xxhash64("shingle").alias("h")))
+    return hashed.groupBy("key").agg(*[
         F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{k}") for k, mask in enumerate(masks)])
 
 
@@ -95,7 +88,7 @@ def _passing(rows: DataFrame, column: str, bits: DataFrame) -> DataFrame:
 
 def _set_of(line: Column) -> Column:
     return F.when(F.length(line) <= SHINGLE, F.array(line)).otherwise(
-        F.array_distinct(_shingles(line, "")))
+        F.array_distinct(_shingles(line)))
 
 
 def _hashes(line: Column) -> Column:
@@ -196,7 +189,7 @@ def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     """
     lines = _lines(docs, id_col, text_col)
     bands = saved(_signatures(lines).select("key", F.explode(F.array(*[
-        F.xxhash64(F.lit(b), F.col("form"), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)])
+        F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)])
         for b in range(BANDS)])).alias("bucket")), "bands")
     shared = saved(bands.groupBy("bucket").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
                    .where("lo < hi").select("bucket", "lo"), "shared")

@@ -226,6 +226,23 @@ def test_links_across_components(spark):
     assert direct != want  # leaders alone lose some
 
 
+def test_like_lines_of_any_number_of_blanks(spark):
+    """Few blanks against many, sparse lines against dense ones, runs of blanks."""
+    draw = random.Random(2)
+    pairs = []
+    for _ in range(6):
+        words = ["".join(draw.choices("abcdefghijklmnop", k=n)) for n in (8, 8, 7, 8, 7, 8, 7)]
+        pairs.append((" ".join(words), " ".join(words) + " a b c d"))  # 6 blanks, 10 blanks
+        long = " ".join("".join(draw.choices("abcdefghijklmnop", k=n)) for n in [28] * 10 + [30])
+        pairs.append((long, long + "x"))  # 320 characters, 321
+        table = prose(draw, 6) + " " + "".join(draw.choices("abcdefghijklmnop", k=30))
+        pairs.append((table.replace(" ", "  ", 1), table.replace(" ", " " * 6, 1)))
+    rows = [(2 * n + side, line) for n, pair in enumerate(pairs) for side, line in enumerate(pair)]
+    got = line_dedup.line_components(frame(spark, rows)).collect()
+    assert {((r.id, r.line_no), (r.first_id, r.first_line)) for r in got} == line_brute(rows)
+    assert len(line_brute(rows)) >= 24
+
+
 def test_without_repeated_lines(spark):
     rows = [(1, "keep this line as it is\nand this other one\n\nkeep this line as it is"),
             (2, "and this other one\nKeep this line as it is\nnew here"), (3, "and this other one"),
