@@ -1,10 +1,11 @@
 """Toxicity by compression distance.
 
-One zstandard dictionary is trained on ordinary text, another on passages of toxic text
-around words that toxic texts hold significantly more often. A window is compressed with
-the ordinary dictionary alone and with both: text like the toxic passages gets shorter by
-the second. What windows save is calibrated to a probability on labelled rows that
-neither dictionary has seen.
+One zstandard dictionary is trained on ordinary text, one on passages of toxic text around
+words that toxic texts hold significantly more often, and one on windows of the toxic texts
+that hold no such word: all of them where samples are few or words are not set apart by
+blanks. A window is compressed with the ordinary dictionary alone and with either toxic one
+before it: text like the toxic samples gets shorter by the second. What windows save is
+calibrated to a probability on labelled rows that the dictionaries have not seen.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import math
 import pickle
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -28,16 +30,23 @@ from fleetlens.llm.common import text_of
 SAMPLE_ROWS, SAMPLE_BYTES = 8000, 1 << 16
 WINDOW = 256
 LEVEL = 6
-ORDINARY_BYTES, TOXIC_BYTES = 32768, 2048
+ORDINARY_BYTES, TOXIC_BYTES, UNMARKED_BYTES = 32768, 2048, 16384
+#: Where a fifth of the rows holds fewer toxic ones, each fifth calibrates in turn.
+FEW = 40
 #: Log-likelihood ratio from which a word marks toxic passages, and bytes around it.
 SIGNIFICANT, AROUND = 25.0, 10
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+#: Words longer than this, in scripts of more than ASCII, count as their runs of three
+#: characters: a sentence without blanks is no word.
+LONG_WORD = 32
+_RUN = re.compile(rb"(?=((?:[\xc0-\xff][\x80-\xbf]+){3}))")
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
     ordinary: bytes
     toxic: bytes
+    unmarked: bytes
     weights: tuple[float, ...]  # of 1 and of the features
     prior: float  # score where there was nothing to learn from
 
@@ -58,20 +67,29 @@ class Scorer:
 
     def __init__(self, model: ToxicityModel):
         self.model = model
-        self._alone = _compressor(model.ordinary) if model.toxic else None
-        # Ordinary content last: its offsets are the same in both.
-        self._both = _compressor(model.toxic + model.ordinary) if model.toxic else None
+        either = model.toxic or model.unmarked
+        self._alone = _compressor(model.ordinary) if either else None
+        # Ordinary content last: its offsets are the same in all.
+        self._both = [_compressor(t + model.ordinary) if t else None
+                      for t in (model.toxic, model.unmarked)]
 
     def features(self, text: bytes) -> tuple[float, ...]:
         """Bytes saved: most in a window, mean, mean of the three best, share of windows
-        that save three or more."""
-        alone, both = self._alone.compress, self._both.compress
-        saved = sorted((len(alone(w)) - len(both(w)) for w in _windows(text.lower())), reverse=True)
-        if not saved:
-            return 0.0, 0.0, 0.0, 0.0
-        top = saved[:3]
-        return (float(saved[0]), sum(saved) / len(saved), sum(top) / len(top),
-                sum(s >= 3 for s in saved) / len(saved))
+        that save three or more; for each toxic dictionary, 0 where it is not there."""
+        windows = _windows(text.lower())
+        if not windows or self._alone is None:
+            return (0.0,) * 8
+        alone = [len(self._alone.compress(w)) for w in windows]
+        out: tuple[float, ...] = ()
+        for both in self._both:
+            if both is None:
+                out += (0.0,) * 4
+                continue
+            saved = sorted((a - len(both.compress(w)) for a, w in zip(alone, windows)), reverse=True)
+            top = saved[:3]
+            out += (float(saved[0]), sum(saved) / len(saved), sum(top) / len(top),
+                    sum(s >= 3 for s in saved) / len(saved))
+        return out
 
     def score(self, text: str | None) -> float:
         if self._alone is None:
@@ -110,35 +128,65 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def _words(text: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Start, end and bytes of each word."""
+    for word in _WORD.finditer(text):
+        if word.end() - word.start() <= LONG_WORD or word.group().isascii():
+            yield *word.span(), word.group()
+        else:
+            for run in _RUN.finditer(text, *word.span()):
+                yield *run.span(1), run.group(1)
+
+
+def _pieces(text: bytes) -> list[bytes]:
+    return [text[i:i + 128] for i in range(0, len(text), 128)]
+
+
+def _dictionaries(fit: list[tuple[bytes, int]]) -> tuple[bytes, bytes, bytes]:
+    """Of ordinary text, of passages around marks, and of toxic texts without marks."""
+    toxic, ordinary = [t for t, y in fit if y], [t for t, y in fit if not y]
+    held = [Counter(w for t in side for w in {w for _, _, w in _words(t)}) for side in (toxic, ordinary)]
+    n, m = len(toxic), len(ordinary)
+    marks = {w for w, c in held[0].items() if c / n > held[1][w] / m
+             and _ratio(c, n, held[1][w], m) >= SIGNIFICANT}
+    passages, unmarked = [], []
+    for t in toxic:
+        around = [t[max(0, a - AROUND):b + AROUND] for a, b, w in _words(t) if w in marks]
+        passages += around
+        unmarked += [] if around else _pieces(t)
+    plain = [w for t in ordinary for w in _pieces(t)]
+    random = np.random.Generator(np.random.PCG64(8))
+    random.shuffle(plain)
+    random.shuffle(unmarked)
+    return (_trained(ORDINARY_BYTES, [bytes(p) for p in plain[:20000]], 32),
+            _trained(TOXIC_BYTES, passages, 16) if passages else b"",
+            _trained(UNMARKED_BYTES, [bytes(p) for p in unmarked[:20000]], 16) if unmarked else b"")
+
+
 def learn(texts: list[str], labels: list[int]) -> ToxicityModel:
     """Fit on labelled texts; of equal texts with one label, one counts. Every fifth one
-    calibrates. With only one label, or no distinctive word, scores are the share of 1."""
+    calibrates; where that leaves few toxic ones, each fifth does in turn, scored by
+    dictionaries of the others. With only one label, scores are the share of 1."""
     rows = sorted({(t.encode().lower(), int(y)) for t, y in zip(texts, labels)})
     np.random.Generator(np.random.PCG64(7)).shuffle(rows)
     rows = [(bytes(t), int(y)) for t, y in rows]
     prior = sum(y for _, y in rows) / len(rows) if rows else 0.0
-    nothing = ToxicityModel(b"", b"", (), prior)
-    fit, check = [r for i, r in enumerate(rows) if i % 5], rows[::5]
-    toxic, ordinary = [t for t, y in fit if y], [t for t, y in fit if not y]
-    if not toxic or not ordinary:
-        return nothing
-    held = [Counter(w for t in side for w in set(_WORD.findall(t))) for side in (toxic, ordinary)]
-    n, m = len(toxic), len(ordinary)
-    marks = {w for w, c in held[0].items() if c / n > held[1][w] / m
-             and _ratio(c, n, held[1][w], m) >= SIGNIFICANT}
-    passages = [t[max(0, w.start() - AROUND):w.end() + AROUND]
-                for t in toxic for w in _WORD.finditer(t) if w.group() in marks]
-    if not passages:
-        return nothing
-    plain = [w for t in ordinary for w in (t[i:i + 128] for i in range(0, len(t), 128))]
-    np.random.Generator(np.random.PCG64(8)).shuffle(plain)
-    model = ToxicityModel(_trained(ORDINARY_BYTES, [bytes(p) for p in plain[:20000]], 32),
-                          _trained(TOXIC_BYTES, passages, 16), (), prior)
-    scorer = Scorer(model)
-    seen = check if len({y for _, y in check}) == 2 else rows
-    weights = _logistic(np.array([scorer.features(t) for t, _ in seen]),
-                        np.array([y for _, y in seen], float))
-    return ToxicityModel(model.ordinary, model.toxic, tuple(map(float, weights)), prior)
+    if len({y for _, y in rows}) < 2:
+        return ToxicityModel(b"", b"", b"", (), prior)
+    few = sum(y for _, y in rows[::5]) < FEW
+    features, seen = [], []
+    for part in range(5 if few else 1):
+        fit = [r for i, r in enumerate(rows) if i % 5 != part]
+        if len({y for _, y in fit}) == 2:
+            scorer = Scorer(ToxicityModel(*_dictionaries(fit), (), prior))
+            features += [scorer.features(t) for t, _ in rows[part::5]]
+            seen += [y for _, y in rows[part::5]]
+    if len(set(seen)) < 2:  # one row of a label
+        scorer = Scorer(ToxicityModel(*_dictionaries(rows), (), prior))
+        features, seen = [scorer.features(t) for t, _ in rows], [y for _, y in rows]
+    model = _dictionaries(rows) if few else _dictionaries(fit)
+    weights = _logistic(np.array(features), np.array(seen, float))
+    return ToxicityModel(*model, tuple(map(float, weights)), prior)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

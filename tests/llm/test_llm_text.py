@@ -218,3 +218,30 @@ def test_toxicity_of_odd_tables(spark):
     for given_labels in (labels, labels.limit(0)):
         scores = docs.select(toxicity.toxicity(toxicity.train(docs, given_labels)).alias("s")).collect()
         assert len(scores) == 3 and all(0 <= r.s <= 1 for r in scores)
+
+
+def labelled(alphabet, blank, n, seed=1):
+    """Texts of which every sixth is toxic: it holds three of five phrases."""
+    draw = random.Random(seed)
+    words = ["".join(draw.choices(alphabet, k=draw.randint(2, 7))) for _ in range(500)]
+    phrases = ["".join(draw.choices(alphabet, k=9)) for _ in range(5)]
+    rows = []
+    for i in range(n):
+        text = draw.choices(words, k=draw.randint(10, 40))
+        for _ in range(3 * (i % 6 == 0)):
+            text.insert(draw.randrange(len(text)), draw.choice(phrases))
+        rows.append((blank.join(text), int(i % 6 == 0)))
+    return rows
+
+
+@pytest.mark.parametrize("alphabet, blank, n", [
+    ("abcdefghijklmnopqrst", " ", 60),  # so few that no word is significant
+    ("".join(chr(0x4E00 + 7 * i) for i in range(600)), "", 120),
+    ("".join(chr(0x4E00 + 7 * i) for i in range(600)), "", 600)])
+def test_recall_of_toxic_rows(alphabet, blank, n):
+    rows = labelled(alphabet, blank, 2 * n)
+    scorer = toxicity.Scorer(toxicity.learn(*zip(*rows[:n])))
+    found = [scorer.score(text) >= 0.5 for text, _ in rows[n:]]
+    toxic = [y == 1 for _, y in rows[n:]]
+    assert sum(f and y for f, y in zip(found, toxic)) >= 0.6 * sum(toxic)
+    assert sum(f == y for f, y in zip(found, toxic)) >= 0.9 * n
