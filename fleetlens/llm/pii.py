@@ -4,7 +4,8 @@ Plain identifiers are found in the text as it is. Then transducers rewrite the t
 look-alike characters, spelled digits, ``at`` and ``dot`` -- and keep, for every character
 written, the source span it came from. What the same detectors find in the rewritten text
 is mapped back and added, if it holds something rewritten and touches no plain identifier
-of its kind. Offsets count code points; ends are exclusive. All scans are linear in the
+of its kind. A second rewriting also takes number words that stand alone next to numerals;
+what is only found there is added too. Offsets count code points; ends are exclusive. All scans are linear in the
 text.
 """
 
@@ -44,6 +45,10 @@ _NUMBER_WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
 _SPELLED = re.compile(rf"\b{_NUMBER_WORD}(?:[ -]{_NUMBER_WORD})+\b", re.IGNORECASE | re.ASCII)
 _SPELLED_ONE = re.compile(_NUMBER_WORD, re.IGNORECASE)
 _SPELLED_PAIRS = [a + gap + b for a in DIGIT_WORDS for gap in " -" for b in DIGIT_WORDS]
+#: Numerals and number words, what may stand between two of them, and what may be kept there.
+_NUMBER = re.compile(rf"[0-9]++|(?<![^\W\d]){_NUMBER_WORD}(?![^\W\d])", re.IGNORECASE)
+_BETWEEN = re.compile(r"[\s,;:./()_|-]{0,3}| dot ", re.IGNORECASE)
+_KEPT_BETWEEN = re.compile(r"[ -]?|[.()-]+[ ]?| [.()-]+| dot ", re.IGNORECASE)
 _PLUS = re.compile(r"\bplus (?=[0-9])", re.IGNORECASE | re.ASCII)
 _BRACKETED = re.compile(r"[\[({<] ?(at|dot) ?[\])}>] ?", re.IGNORECASE)
 _SAID = re.compile(rf"(?<![{_WORD}])[{_WORD}]++ at [A-Za-z0-9-]++(?:(?: dot |\.)[A-Za-z0-9-]++)+"
@@ -156,6 +161,29 @@ def _spelled_digits(text: str) -> Iterator[tuple[int, int, str]]:
             yield *word.span(), DIGIT_WORDS[word.group().lower()]
 
 
+def _near_digits(text: str) -> Iterator[tuple[int, int, str]]:
+    """Number words next to a numeral or another number word, and what stands between."""
+    lower = text.lower()
+    if not any(word in lower for word in DIGIT_WORDS):
+        return
+    last, end, written = "", -1, False  # the number before, where it ends, and if it is rewritten
+    for found in _NUMBER.finditer(text):
+        word, between = found.group(), text[end:found.start()] if end >= 0 else None
+        near = between is not None and _BETWEEN.fullmatch(text, end, found.start())
+        spelled = word.lower() in DIGIT_WORDS
+        if near and (spelled or last.lower() in DIGIT_WORDS):
+            if not written and last.lower() in DIGIT_WORDS:
+                yield end - len(last), end, DIGIT_WORDS[last.lower()]
+            if not _KEPT_BETWEEN.fullmatch(between):
+                yield end, found.start(), " "
+            if spelled:
+                yield *found.span(), DIGIT_WORDS[word.lower()]
+            written = spelled
+        else:
+            written = False
+        last, end = word, found.end()
+
+
 def _plus(text: str) -> Iterator[tuple[int, int, str]]:
     if "plus " in text.lower():
         for found in _PLUS.finditer(text):
@@ -179,28 +207,42 @@ def _said(text: str) -> Iterator[tuple[int, int, str]]:
                 yield *mark.span(), _MARKS[mark.group(1).lower()]
 
 
-TRANSDUCERS: tuple[Callable[[str], Iterator[tuple[int, int, str]]], ...] = (
-    _characters, _spelled_digits, _plus, _bracketed, _said)
+Transducer = Callable[[str], Iterator[tuple[int, int, str]]]
+TRANSDUCERS: tuple[Transducer, ...] = (_characters, _spelled_digits, _plus, _bracketed, _said)
+#: A second way, so that a number word behind an identifier does not hide it.
+NEAR_TRANSDUCERS: tuple[Transducer, ...] = (_characters, _near_digits, _plus, _bracketed, _said)
 
 
-def find_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """Plain spans and those only found in the rewritten text, in source offsets."""
-    plain = plain_spans(text)
+def _rewritten(text: str, transducers: tuple[Transducer, ...]) -> Rewritten:
+    """The rewritten text; an empty one if nothing was rewritten."""
     current = Rewritten.of("")
-    for i, transducer in enumerate(TRANSDUCERS):
+    for i, transducer in enumerate(transducers):
         edits = list(transducer(current.text if i and current.text else text))
         if edits:
             current = (current if current.text else Rewritten.of(text)).replace(edits)
-    added = []
-    if current.text:
+    return current
+
+
+def find_spans(text: str) -> tuple[list[Span], list[Span]]:
+    """Plain spans and those only found in a rewritten text, in source offsets."""
+    plain = plain_spans(text)
+    added: list[Span] = []
+    before = ""
+    for transducers in (TRANSDUCERS, NEAR_TRANSDUCERS):
+        current = _rewritten(text, transducers)
+        if not current.text or current.text == before:
+            continue
+        before = current.text
+        more = []
         for kind in KINDS:
-            taken = sorted(s[1:] for s in plain if s[0] == kind)
+            taken = sorted(s[1:] for s in plain + added if s[0] == kind)
             for a, b in _FINDERS[kind](current.text):
                 start, end = int(current.start[a]), int(current.end[b - 1])
                 while taken and taken[0][1] <= start:
                     taken.pop(0)
                 if current.new[a:b].any() and not (taken and taken[0][0] < end):
-                    added.append((kind, start, end))
+                    more.append((kind, start, end))
+        added += more
     return plain, added
 
 

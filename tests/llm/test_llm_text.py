@@ -163,6 +163,24 @@ def test_disguised_spans(text, want):
     assert plain == base_spans(text)
 
 
+@pytest.mark.parametrize("text, want", [
+    ("card 4111 1111 1111 111 one", [("card", "4111 1111 1111 111 one")]),
+    ("card four 111 1111 1111 1111.", [("card", "four 111 1111 1111 1111")]),
+    ("call +1 555 010 four 321 now", [("phone", "+1 555 010 four 321")]),
+    ("plus four, one, five, five, five, one, two, three, four, five",
+     [("phone", "plus four, one, five, five, five, one, two, three, four, five")]),
+    ("+four  one\nfive 555 1234 FIVE", [("phone", "+four  one\nfive 555 1234 FIVE")]),
+    ("192 dot 168 dot one dot 1", [("ip", "192 dot 168 dot one dot 1")]),
+    ("４１１１ 1111 1111 1111 one more", [("card", "４１１１ 1111 1111 1111")]),
+    ("no one has 12 phones", []), ("someone 4111 1111 1111 111", []), ("4111 1111 1111 111 ones", []),
+    ("4111 1111 1111 1111 one", []),
+])
+def test_single_number_words(text, want):
+    plain, added = pii.find_spans(text)
+    assert [(kind, text[a:b]) for kind, a, b in added] == want
+    assert plain == base_spans(text)
+
+
 def test_disguised_never_touch_plain(spark):
     text = "a@b.cc dot org and +1 (487) 555-7209 one two"
     plain, added = pii.find_spans(text)
