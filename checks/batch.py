@@ -10,7 +10,7 @@ from fleetlens import functions as fn, operators as op, schemas
 from fleetlens.sources import decode, encode, to_messages
 
 from . import sql
-from .data import (city, device_messages, devices, event_messages, events, land, location,
+from .data import (city, device_messages, devices, event_messages, events, land, land_with_holes, location,
                    positions, table)
 from .registry import query
 
@@ -526,3 +526,15 @@ def polygon_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = op.polygon_edges(land(table(spark, sf_dir, "supplier")))
     return edges.select("polygon_id", *[_rounded(F.col(c), c)
                                         for c in ("lat1", "lon1", "lat2", "lon2", "west")])
+
+
+@query(sql.inside_rings(sql.POSITIONS, sql.LAND_WITH_HOLES))
+def polygon_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A point in a hole is not inside."""
+    return op.points_inside(positions(table(spark, sf_dir, "customer")),
+                            land_with_holes(table(spark, sf_dir, "supplier")), cell_degrees=0.0005)
+
+
+@query(f"SELECT polygon_id, substr(reason, 3) AS reason FROM ({sql.invalid(sql.LAND_WITH_HOLES)})")
+def invalid_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.invalid_polygons(land_with_holes(table(spark, sf_dir, "supplier")), cell_degrees=0.0005)

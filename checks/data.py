@@ -24,6 +24,14 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             .option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir))
 
 
+def in_steps(rows: DataFrame, step: Column, steps: int, path: str) -> DataFrame:
+    """Rows as a stream of one micro-batch for each ``step`` from 0 on."""
+    for n in range(steps):
+        rows.where(step == n).coalesce(1).write.mode("append").parquet(path)
+    return (rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1)
+            .parquet(path))
+
+
 def location() -> Column:
     """``lat,lon`` text of a customer, near the disruption centre."""
 
@@ -80,6 +88,28 @@ def land(suppliers: DataFrame) -> DataFrame:
             .select("polygon_id", "landuse", "v.*"))
 
 
+def land_with_holes(suppliers: DataFrame) -> DataFrame:
+    """``land``, with a small four-sided hole for every third supplier. Holes of every ninth
+    lie outside, some outlines cross themselves and some repeat a vertex."""
+    key = F.col("s_suppkey")
+    vertices = land(suppliers).withColumn("ring_no", F.lit(0))
+    south = F.lit(47.37) + (key * 41 % 9000) / F.lit(1e6)
+    west = F.lit(8.51) + (key * 59 % 20000) / F.lit(1e6)
+    shift = F.when(key % 9 == 0, F.lit(0.01)).otherwise(F.lit(0.0))
+    ring = [(0.0001, 0.0006), (0.0001, 0.0009), (0.0002, 0.0009), (0.0003, 0.0007)]
+    corners = F.array(*[
+        F.struct(F.lit(i).alias("vertex_no"), (south + F.lit(dy)).alias("lat"),
+                 (west + F.lit(dx) + shift).alias("lon")) for i, (dy, dx) in enumerate(ring)])
+    holes = (suppliers.where(key % 3 == 0)
+             .select(key.alias("polygon_id"), F.lit("hole").alias("landuse"), F.explode(corners).alias("v"))
+             .select("polygon_id", "landuse", "v.*", F.lit(1).alias("ring_no")))
+    number = F.when((F.col("polygon_id") % 7 == 0) & F.col("vertex_no").isin(1, 2), 3 - F.col("vertex_no"))
+    outer = vertices.withColumn("vertex_no", F.coalesce(number, "vertex_no"))
+    again = outer.where((F.col("polygon_id") % 11 == 0) & (F.col("vertex_no") == 4)).withColumn(
+        "vertex_no", F.lit(5))
+    return outer.unionByName(again).unionByName(holes)
+
+
 def city(customers: DataFrame) -> DataFrame:
     """An eight-sided outline around the middle half of all positions."""
     box = positions(customers).agg(F.min("lat").alias("s"), F.max("lat").alias("n"),

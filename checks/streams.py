@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetlens import operators as op, plans
+from fleetlens.functions import iso_millis
 from fleetlens.session import scratch_dir
 from fleetlens.sources import FileTopic
-from fleetlens.streaming import alert_job, alerts_from, enrichment_job, fan_out
+from fleetlens.streaming import (Lateness, WaitingEvents, alert_job, alerts_from, enriched_from, enrichment_job,
+                                 events_from, fan_out, late_job)
 
 from . import sql
-from .data import device_messages, devices, event_messages, events, stream, table
+from .data import device_messages, devices, event_messages, events, in_steps, stream, table
 from .registry import query
 from .tables import _STORED_EVENTS, _enriched_messages, _show_events
 
@@ -32,6 +34,7 @@ def _timed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+_ERROR = "event_type = 'error'"
 _ERROR_HOPS = sql.hops(2 * sql.DAY, sql.DAY, "user_id", "event_type = 'error'")
 
 
@@ -154,3 +157,74 @@ def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
             scratch_dir(spark, "fan-out-progress")).awaitTermination()
     both = spark.read.parquet(errors).unionByName(spark.read.parquet(others))
     return both.groupBy(is_error.alias("is_error")).agg(F.count("*").alias("n"))
+
+
+# Streams of several micro-batches ---------------------------------------------------
+
+def _week() -> Column:
+    return F.least(F.lit(3), F.floor((F.dayofmonth("ts") - 1) / 8))
+
+
+@query(f"SELECT * FROM ({sql.hops(24 * sql.HOUR, sql.HOUR, 'user_id', _ERROR)}) WHERE {sql.CLOSED}")
+def stream_hop_counts_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long windows from panes, over four ordered files."""
+    rows = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    arriving = in_steps(rows, _week(), 4, scratch_dir(spark, "weeks")).withWatermark("ts", "5 seconds")
+    arriving = arriving.where(F.when(F.col("ts").isNotNull(), F.col("event_type") == "error"))
+    found = _run(op.hop_counts(arriving, ["user_id"], "ts", "24 hours", "1 hour"), "stream-hourly")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query(sql.ENRICHED)
+def stream_enrich_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the devices is announced with each file of events."""
+    customers = table(spark, sf_dir, "customer")
+    sent, enriched = FileTopic(scratch_dir(spark, "ahead"), 1), FileTopic(scratch_dir(spark, "placed"))
+    rows = table(spark, sf_dir, "events")
+    for n in range(4):
+        sent.publish(event_messages(rows.where(_week() == n)).coalesce(1))
+    known = iter(range(4))
+    waiting = WaitingEvents(scratch_dir(spark, "waiting"))
+    enrichment_job(spark, lambda: devices(customers.where(F.col("c_custkey") % 4 <= next(known))), sent, enriched,
+                   scratch_dir(spark, "waiting-progress"), waiting=waiting, trigger=_NOW).awaitTermination()
+    found = enriched_from(enriched.table(spark), "fail")
+    return _zoneless(found.withColumn("eventTimestamp", iso_millis("eventTimestamp")))
+
+
+@query(f"""
+    WITH sent AS (
+        SELECT event_id, user_id, ts, least(3, least(3, (day(ts) - 1) // 8)
+               + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END) AS step
+        FROM (SELECT * REPLACE ({sql.MILLIS} AS ts) FROM events)),
+    newest AS (SELECT step, max(ts) AS ts FROM sent GROUP BY step)
+    SELECT CAST(user_id AS VARCHAR) AS "deviceId", sent.ts AS "timestamp",
+           coalesce(make_timestamp((epoch_us(sent.ts) // {sql.HOUR} + 1) * {sql.HOUR})
+                    <= (SELECT max(ts) FROM newest WHERE newest.step < sent.step) - INTERVAL 5 SECOND, FALSE)
+           AS late
+    FROM sent""")
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four files; every tenth event comes a file too late. An event is late when the hour
+    it is in has been over for all files before."""
+    rows = table(spark, sf_dir, "events")
+    step = F.least(F.lit(3), _week() + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0))
+    sent = FileTopic(scratch_dir(spark, "mixed"), 1)
+    for n in range(4):
+        sent.publish(event_messages(rows.where(step == n)).coalesce(1))
+    on_time, late = (FileTopic(scratch_dir(spark, f"topic-{name}")) for name in ("on-time", "late"))
+    late_job(spark, sent, on_time, late, scratch_dir(spark, "late-progress"),
+             Lateness(scratch_dir(spark, "lateness"), "1 hour", "1 hour"), time_path="$.timestamp",
+             trigger=_NOW).awaitTermination()
+    parts = [events_from(topic.table(spark)).withColumn("late", F.lit(is_late))
+             for topic, is_late in ((on_time, False), (late, True))]
+    return _zoneless(parts[0].unionByName(parts[1]).select("deviceId", "timestamp", "late"))
+
+
+@query("SELECT event_type AS name, count(*) AS n FROM events GROUP BY 1")
+def topic_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that is published again under its name adds nothing."""
+    topic, rows = FileTopic(scratch_dir(spark, "batches")), table(spark, sf_dir, "events")
+    for n in (0, 1, 1, 0):
+        topic.publish(event_messages(rows.where(F.col("event_id") % 2 == n)), f"half-{n}")
+    found = events_from(topic.table(spark))
+    return found.groupBy(F.get_json_object("payload", "$.notificationName").alias("name")).agg(
+        F.count("*").alias("n"))

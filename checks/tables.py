@@ -247,6 +247,78 @@ def view_follows_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(counts, "step INT, n BIGINT")
 
 
+def _by_device(messages: DataFrame, parts: int, part: int) -> DataFrame:
+    return messages.where(F.get_json_object("value", "$.deviceId").cast("bigint") % parts == part)
+
+
+@query(f"""
+    SELECT * FROM ({_STORED_EVENTS})
+    WHERE CAST("deviceId" AS BIGINT) % 3 <> 1 OR "__time" < TIMESTAMP '2024-01-10'""")
+def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads, rewritten as one file a day; then one of them is repeated with fewer
+    days, and the days it has left are rewritten again."""
+    path, sent = scratch_dir(spark, "compacted"), _enriched_messages(spark, sf_dir)
+    for part in range(3):
+        plans.load(_by_device(sent, 3, part), plans.EVENTS_GEO, path, f"s-{part}")
+    plans.compact(spark, plans.EVENTS_GEO, path, before=date(2024, 1, 20))
+    plans.load(_by_device(sent, 3, 1), plans.EVENTS_GEO, path, "s-1", end=datetime(2024, 1, 10))
+    plans.compact(spark, plans.EVENTS_GEO, path)
+    return _show_events(plans.read_table(spark, plans.EVENTS_GEO, path))
+
+
+@query("""
+    SELECT count(DISTINCT CAST(ts AS DATE)) FILTER (ts < TIMESTAMP '2024-01-20') AS days,
+           count(*) > 0 AS has_rows
+    FROM events JOIN customer ON user_id = c_custkey""")
+def compacted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A compacted day is one file, whatever the number of loads."""
+    path, sent = scratch_dir(spark, "few-files"), _enriched_messages(spark, sf_dir)
+    for part in range(4):
+        plans.load(_by_device(sent, 4, part), plans.EVENTS_GEO, path, f"s-{part}")
+    plans.compact(spark, plans.EVENTS_GEO, path, before=date(2024, 1, 20))
+    rows = plans.read_table(spark, plans.EVENTS_GEO, path).withColumn("file", F.input_file_name())
+    early = F.when(F.col("__date") < "2024-01-20", F.col("file"))
+    return rows.agg(F.count_distinct(early).alias("days"), (F.count("*") > 0).alias("has_rows"))
+
+
+@query(f"""
+    SELECT * FROM ({_STORED_EVENTS})
+    WHERE "eventNotificationName" <> 'error' OR "__time" < TIMESTAMP '2024-01-08'
+       OR "__time" >= TIMESTAMP '2024-01-12'""")
+def replace_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days are replaced by a query that reads them."""
+    path = _events_table(spark, sf_dir, "replace-days")
+    plans.enable(spark, plans.EVENTS_GEO, path)
+    plans.replace_interval(spark, plans.EVENTS_GEO, path, """
+        SELECT * FROM EVENTS_GEO WHERE eventNotificationName <> 'error'
+        AND __date >= DATE'2024-01-08' AND __date < DATE'2024-01-12'""",
+                           date(2024, 1, 8), date(2024, 1, 12), "without errors")
+    found = _show_events(spark.table(plans.EVENTS_GEO.name))
+    plans.disable(spark, plans.EVENTS_GEO)
+    return found
+
+
+@query("""
+    SELECT 'batch' AS load, count(*) AS n_read,
+           count(*) FILTER (event_type <> 'error' AND ts < TIMESTAMP '2024-01-15') AS n_kept
+    FROM events JOIN customer ON user_id = c_custkey
+    UNION ALL
+    SELECT 'stream-0', count(*), count(*) FILTER (event_type <> 'error')
+    FROM events JOIN customer ON user_id = c_custkey""")
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that cannot be decoded, or are too late, are counted and left out."""
+    sent = _enriched_messages(spark, sf_dir).withColumn(
+        "value", F.when(F.col("value").contains('"error"'), F.substring("value", 2, 1_000_000))
+        .otherwise(F.col("value")))
+    path, topic = scratch_dir(spark, "counted"), FileTopic(scratch_dir(spark, "counted-topic"))
+    plans.load(sent, plans.EVENTS_GEO, path, "batch", end=datetime(2024, 1, 15))
+    topic.publish(sent)
+    plans.load_stream(topic.stream(spark), plans.EVENTS_GEO, path, scratch_dir(spark, "counted-progress"),
+                      "stream").awaitTermination()
+    reports = [(r.load_id, r.read, r.kept) for r in plans.load_history(spark, path)]
+    return spark.createDataFrame(reports, "load STRING, n_read BIGINT, n_kept BIGINT")
+
+
 # Reports --------------------------------------------------------------------------
 
 @query(f'SELECT "deviceId", latitude, longitude FROM ({_STORED_DEVICES})')

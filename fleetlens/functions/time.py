@@ -39,15 +39,23 @@ def _utc_clock(instant: Column | str) -> Column:
     since = F.make_dt_interval(secs=F.unix_micros(column.cast("timestamp")).cast("decimal(24,6)") / 1_000_000)
     utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
     zoneless = F.typeof(column) == "timestamp_ntz"
-    return F.when(zoneless, column.cast("timestamp_ntz")).otherwise(utc).cast("string")
+    # Known when the query is planned; in UTC an instant is spelled as it is.
+    plain = F.when(zoneless | _in_utc(), column.cast("string"))
+    return F.coalesce(plain, utc.cast("string"))
+
+
+def _in_utc() -> Column:
+    return F.current_timezone() == "UTC"
 
 
 def iso_millis(instant: Column | str) -> Column:
     """ISO-8601 text, cut (not rounded) to milliseconds, with ``Z``."""
     clock = _utc_clock(instant)
     seconds = F.replace(F.substring_index(clock, ".", 1), F.lit(" "), F.lit("T"))
-    return F.concat(seconds, F.lit("."), F.rpad(F.regexp_extract(clock, r"\.(\d{1,3})", 1), 3, "0"),
-                    F.lit("Z"))
+    millis = F.concat(seconds, F.lit("."), F.rpad(F.regexp_extract(clock, r"\.(\d{1,3})", 1), 3, "0"),
+                      F.lit("Z"))
+    column = F.col(instant) if isinstance(instant, str) else instant
+    return F.when(_in_utc(), F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).otherwise(millis)
 
 
 def iso_text(instant: Column | str, suffix: str = "Z") -> Column:
@@ -59,6 +67,8 @@ def iso_text(instant: Column | str, suffix: str = "Z") -> Column:
 _DAY_TEXT = r"\d{4}-\d{2}-\d{2}"
 _CLOCK_TEXT = r"[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?"
 _ZONE_TEXT = r" ?(?:Z|[+-]\d{2}:?\d{2})"
+#: What a cast reads as it stands, and nearly all times are spelled like.
+_WHOLE_TEXT = rf"^{_DAY_TEXT}[T ]\d{{2}}:\d{{2}}:\d{{2}}(?:\.\d{{1,9}})?(?:Z|[+-]\d{{2}}:\d{{2}})$"
 
 
 def parse_time(text: Column | str, form: str = "iso") -> Column:
@@ -73,7 +83,7 @@ def parse_time(text: Column | str, form: str = "iso") -> Column:
              .when(column.rlike(f"^{_DAY_TEXT}{_CLOCK_TEXT}$"), F.concat(column, F.lit("+00:00")))
              .when(column.rlike(f"^{_DAY_TEXT}$"), F.concat(column, F.lit("T00:00:00+00:00"))))
     seconds = F.regexp_replace(whole, r"^(.{10}.\d{2}:\d{2})([+-])", "$1:00$2")
-    parsed = seconds.try_cast("timestamp")
+    parsed = F.when(column.rlike(_WHOLE_TEXT), column).otherwise(seconds).try_cast("timestamp")
     if form == "iso":
         return parsed
     if form == "auto":

@@ -23,24 +23,29 @@ def count_by_hop(events: DataFrame, keys: list[str], time: str, size: str, slide
     the window is a struct ``window``; in batch it is ``window_start``, a plain key
     that groups and joins faster (``with_bounds`` gives both bounds for either).
 
-    ``panes`` counts slide-wide panes first and adds them up to windows, for batch
-    input and a size that is a multiple of the slide; by default when size/slide
-    is large. ``key_first`` hashes a stream by the keys before the window.
+    ``panes`` counts slide-wide panes first and adds them up to windows, for a size
+    that is a multiple of the slide; by default when size/slide is large. On a stream
+    these are two stateful operators: events are held once, in panes that close with the
+    watermark, and only closed panes are copied to their windows. ``key_first`` hashes a
+    stream by the keys before the window.
     """
     number = F.count("*").alias("total_count")
-    if events.isStreaming:
-        if panes:
-            raise ValueError("panes need batch input")
-        window = F.window(time, size, slide).alias("window")
-        grouping = [*keys, window] if key_first else [window, *keys]
-        return events.groupBy(*grouping).agg(number)
-
     length, step = duration_micros(size), duration_micros(slide)
     per_event, whole = -(-length // step), length % step == 0
     if panes and not whole:
         raise ValueError("panes need a size that is a multiple of the slide")
     if panes is None:
         panes = whole and per_event >= PANES_FROM
+    if events.isStreaming:
+        moment = F.col(time)
+        if panes:
+            pane = F.window(time, slide).alias("_pane")
+            by_pane = [*keys, pane] if key_first else [pane, *keys]
+            events = events.groupBy(*by_pane).agg(F.count("*").alias("_n"))
+            moment, number = F.window_time("_pane"), F.sum("_n").alias("total_count")
+        window = F.window(moment, size, slide).alias("window")
+        grouping = [*keys, window] if key_first else [window, *keys]
+        return events.groupBy(*grouping).agg(number)
 
     # The start of the slide an event is in, and from it the starts of its windows.
     pane = F.window(time, slide)["start"].alias("_pane")

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.json import json_value
 from .spread import BROADCAST_BYTES, DEFAULT_SALTS, broadcast_if_fits, spread_join
 
-_OUTPUT = ["deviceId", "deviceCity", "deviceRegion", "deviceLocation", "messageName",
-           "eventNotificationName", "timestamp", "eventTimestamp"]
+OUTPUT = ["deviceId", "deviceCity", "deviceRegion", "deviceLocation", "messageName",
+          "eventNotificationName", "timestamp", "eventTimestamp"]
+NOTICE = ["deviceId", "messageName", "eventNotificationName", "timestamp", "eventTimestamp"]
 _EVENT_HASH = ["timestamp", "eventTimestamp", "messageName", "eventNotificationName"]
 
 
@@ -63,7 +64,7 @@ def enrich(events: DataFrame, devices: DataFrame, *, broadcast: str | None = Non
         salts = 1 if fits else (salts or DEFAULT_SALTS)
     if salts is None:
         salts = DEFAULT_SALTS if both else 1
-    return spread_join(notices, places, ["deviceId"], _EVENT_HASH, salts).select(*_OUTPUT)
+    return spread_join(notices, places, ["deviceId"], _EVENT_HASH, salts).select(*OUTPUT)
 
 
 def enrich_bounded(events: DataFrame, devices: DataFrame, *, device_time: str,
@@ -81,7 +82,7 @@ def enrich_bounded(events: DataFrame, devices: DataFrame, *, device_time: str,
     reach = f"INTERVAL '{wait}'"
     near = F.expr(f"_seen >= timestamp - {reach} AND _seen <= timestamp + {reach}")
     joined = spread_join(notices, places, ["deviceId"], _EVENT_HASH, salts, where=near)
-    return joined.select(*_OUTPUT)
+    return joined.select(*OUTPUT)
 
 
 def join_all(events: DataFrame, devices: DataFrame) -> DataFrame:

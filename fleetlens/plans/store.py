@@ -1,26 +1,31 @@
 """Messages to store tables, and reading them back.
 
-A table is a folder of Parquet files, partitioned by UTC day ``__date`` (unless the
-spec says otherwise) and by ``__load``, the load that wrote them. Writing a load
-replaces what an earlier attempt at the same load left, so a batch that is run again
-after a failure adds nothing twice.
+A table is a folder of Parquet files. Every write has a folder ``__part`` of its own,
+with a folder for each UTC day ``__date`` (unless the spec says otherwise) below it;
+the log of the table (``manifest``) says which of them count. Rows carry the name of
+their load, ``__load``: entering a load again puts it in the place of an earlier
+attempt, so a batch that is run again after a failure adds nothing twice.
 """
 
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (ArrayType, DateType, FloatType, LongType, StringType,
                                StructField, StructType, TimestampType)
 
+from ..functions.observed import observed
 from ..functions.records import sorted_values
 from ..functions.time import as_utc, parse_time, utc_date
 from ..sources.messages import decode, encode
-from .folders import DAY, changed, delete_folder, list_days, load_files
+from . import manifest
 from .specs import Dimension, IngestSpec
+from .views import refresh
 
 _TYPES = {"string": StringType(), "long": LongType(), "float": FloatType()}
 
@@ -90,19 +95,30 @@ def table_schema(spec: IngestSpec) -> StructType:
     for d in spec.dimensions:
         kind = _TYPES[d.kind]
         fields.append(StructField(d.name, ArrayType(kind) if d.multi_value else kind))
+    fields += [StructField("__load", StringType()), StructField("__part", StringType())]
     if spec.partition_by_day:
         fields.append(StructField("__date", DateType()))
-    fields.append(StructField("__load", StringType()))
     return StructType(fields)
 
 
-def _partitions(spec: IngestSpec) -> list[str]:
-    return ["__date", "__load"] if spec.partition_by_day else ["__load"]
+@dataclass(frozen=True)
+class LoadReport:
+    """What a load has read and kept; the rest were messages that could not be decoded,
+    had no time, or were too early or too late."""
+
+    load_id: str
+    read: int
+    kept: int
+    days: tuple[date, ...] = ()
+
+    @property
+    def dropped(self) -> int:
+        return self.read - self.kept
 
 
 def load(messages: DataFrame, spec: IngestSpec, path: str, load_id: str,
          start: datetime | None = None, end: datetime | None = None,
-         rebalance: bool = True) -> None:
+         rebalance: bool = True) -> LoadReport:
     """Append a batch of messages to a table as the load ``load_id``.
 
     Loading the same id again replaces it. ``start`` and ``end`` (exclusive)
@@ -111,35 +127,54 @@ def load(messages: DataFrame, spec: IngestSpec, path: str, load_id: str,
     it every task writes a file for every day it meets, which is better when the
     input is in time order already.
     """
-    rows = shape(messages, spec)
+    seen, kept = Observation(), Observation()
+    rows = shape(messages.observe(seen, F.count("*").alias("n")), spec)
     if start is not None:
         rows = rows.where(F.col("__time") >= F.lit(as_utc(start)))
     if end is not None:
         rows = rows.where(F.col("__time") < F.lit(as_utc(end)))
-    _write(rows, spec, path, load_id, rebalance)
-
-
-def _write(rows: DataFrame, spec: IngestSpec, path: str, load_id: str, rebalance: bool) -> None:
+    part = write_part(rows.observe(kept, F.count("*").alias("n")).withColumn("__load", F.lit(load_id)),
+                      spec, path, rebalance)
+    entry = {"load": load_id, "folders": manifest.written(messages.sparkSession, path, part),
+             "read": observed(seen, "n", 0), "kept": observed(kept, "n", 0)}
+    enter(messages.sparkSession, path, lambda state: entry)
+    days = sorted(day for _, day in map(manifest.key_of, entry["folders"]) if day)
+    return LoadReport(load_id, entry["read"], entry["kept"], tuple(days))
+
+
+def write_part(rows: DataFrame, spec: IngestSpec, path: str, rebalance: bool = True) -> str:
+    """Write rows with their ``__load`` to a folder of their own, which is not entered yet.
+    Nothing that is there is listed or touched."""
+    days = []
     if spec.partition_by_day:
-        rows = rows.withColumn("__date", utc_date("__time"))
+        rows, days = rows.withColumn("__date", utc_date("__time")), ["__date"]
         if rebalance:
             # A day too large for one task is split again.
             rows = rows.hint("rebalance", "__date")
-    writer = (rows.withColumn("__load", F.lit(load_id)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic")
+    writer = (rows.write.mode("errorifexists").partitionBy(*days)
               .option("maxRecordsPerFile", spec.rows_per_file))
     for name in spec.indexed if spec.values_per_file else ():
         writer = (writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
                   .option(f"parquet.bloom.filter.expected.ndv#{name}", spec.values_per_file))
-    spark = rows.sparkSession
-    before = load_files(spark, spec, path, load_id)
-    writer.partitionBy(*_partitions(spec)).parquet(path)
-    after = load_files(spark, spec, path, load_id)
-    # A day that this attempt did not write still has the files of an earlier one.
-    for folder, names in before.items():
-        if after.get(folder) == names:
-            delete_folder(spark, folder)
-    changed(spark, path)
+    part = uuid.uuid4().hex
+    writer.parquet(manifest.folder_path(path, (part, None)))
+    return part
+
+
+def enter(spark: SparkSession, path: str, make) -> tuple[manifest.State, manifest.State]:
+    """``manifest.commit``, seen by the tables that are enabled."""
+    before, after = manifest.commit(spark, path, make)
+    refresh(spark, path, after)
+    return before, after
+
+
+def load_history(spark: SparkSession, path: str) -> list[LoadReport]:
+    """The last loads of a table, oldest first: ``manifest.RECENT`` at most."""
+    return [LoadReport(r["load"], r["read"], r["kept"]) for r in manifest.current(spark, path).recent]
+
+
+def list_days(spark: SparkSession, path: str) -> list[date]:
+    return manifest.current(spark, path).days()
 
 
 def load_stream(messages: DataFrame, spec: IngestSpec, path: str, checkpoint: str,
@@ -148,10 +183,11 @@ def load_stream(messages: DataFrame, spec: IngestSpec, path: str, checkpoint: st
     """Keep a table filled from a message stream.
 
     Every micro-batch is one load, so a batch that is repeated after a failure
-    replaces itself. There is no watermark: late and early rows are kept.
+    replaces itself; ``load_history`` tells what each has read and kept. There is no
+    watermark: late and early rows are kept.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write(shape(batch, spec), spec, path, f"{stream_id}-{batch_id}", rebalance)
+        load(batch, spec, path, f"{stream_id}-{batch_id}", rebalance=rebalance)
 
     return (messages.writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint)
@@ -172,14 +208,33 @@ def reset_stream(messages: DataFrame, spec: IngestSpec, path: str, progress: str
 def read_table(spark: SparkSession, spec: IngestSpec, path: str,
                days: list[date] | None = None) -> DataFrame:
     """All rows: ``__time``, the dimensions and, where partitioned, ``__date``. With
-    ``days``, only the folders of those days are listed and read."""
-    reader = spark.read.schema(table_schema(spec))
-    if days is None:
-        return reader.parquet(path).drop("__load")
-    if not days:
-        return spark.createDataFrame([], table_schema(spec)).drop("__load")
-    folders = [f"{path.rstrip('/')}/{DAY}{day.isoformat()}" for day in days]
-    return reader.option("basePath", path).parquet(*folders).drop("__load")
+    ``days``, only the folders of those days are listed and read. Loads that are entered
+    later are not seen."""
+    folders = manifest.current(spark, path).folders
+    if days is not None:
+        wanted = set(days)
+        folders = {key: f for key, f in folders.items() if key[1] in wanted}
+    return read_folders(spark, spec, path, folders).drop("__load", "__part")
+
+
+def read_folders(spark: SparkSession, spec: IngestSpec, path: str,
+                 folders: dict[manifest.Key, manifest.Folder]) -> DataFrame:
+    """Rows of some folders that count, with their ``__load`` and ``__part``."""
+    if not folders:
+        return spark.createDataFrame([], table_schema(spec))
+    rows = (spark.read.schema(table_schema(spec)).option("basePath", path)
+            .parquet(*sorted(manifest.folder_path(path, key) for key in folders)))
+    return counting(rows, folders)
+
+
+def counting(rows: DataFrame, folders: dict[manifest.Key, manifest.Folder]) -> DataFrame:
+    """Rows without those of loads that were made again after their folder was compacted."""
+    gone = [(part, day, load) for (part, day), found in folders.items() for load in found.without]
+    if not gone:
+        return rows
+    again = [(F.col("__part") == part) & (F.col("__load") == load)
+             & (F.lit(True) if day is None else F.col("__date") == F.lit(day)) for part, day, load in gone]
+    return rows.where(~reduce(Column.__or__, again))
 
 
 def as_messages(rows: DataFrame, spec: IngestSpec) -> DataFrame:

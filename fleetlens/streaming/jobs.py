@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -10,9 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators.alerts import alerts_from_counts, closed_counts, deviation_alerts
-from ..operators.enrich import enrich
+from ..functions.json import json_value
+from ..functions.time import parse_time
+from ..operators.enrich import OUTPUT, device_places, enrich, event_notices
 from ..sources.messages import decode, encode
 from ..sources.topics import FileTopic, KafkaTopic
+from .late import Lateness
+from .waiting import WaitingEvents
 
 Topic = FileTopic | KafkaTopic
 
@@ -35,22 +40,37 @@ def alerts_from(messages: DataFrame, on_error: str = "drop") -> DataFrame:
 
 def enrichment_job(spark: SparkSession, devices: Topic | DataFrame | Callable[[], DataFrame],
                    events: Topic, sink: Topic, checkpoint: str, *, on_error: str = "fail",
-                   trigger: dict | None = None) -> StreamingQuery:
+                   trigger: dict | None = None, waiting: WaitingEvents | None = None,
+                   unplaced: Topic | None = None) -> StreamingQuery:
     """Device places put on events, topic to topic.
 
     ``devices`` (columns ``deviceId, payload``) is one of
 
     - a DataFrame: events meet the device files that were there when it was made;
     - a function that reads the device table: called for every micro-batch, so new
-      devices are seen; the sink is then written at-least-once;
+      devices are seen. An event ahead of its device is lost, unless there is a place
+      for it to wait: ``waiting`` keeps it and joins it again with every later batch.
+      Those that give up go to ``unplaced``, if given, without a place;
     - a topic: both sides are streams. Events wait for their device, and all rows
       stay in state.
+
+    With a function, file topics are written exactly-once and Kafka at-least-once.
     """
+    if waiting is not None and not callable(devices):
+        raise ValueError("events wait for devices that are read anew for every batch")
     trigger = trigger or {"processingTime": "360 seconds"}
     arriving = events.stream(spark)
     if callable(devices):
         def write(batch: DataFrame, batch_id: int) -> None:
-            sink.publish(encode(enrich(events_from(batch, on_error), devices())))
+            name = _batch_name(checkpoint, batch_id)
+            if waiting is None:
+                sink.publish(encode(enrich(events_from(batch, on_error), devices())), name)
+                return
+            rows = waiting.place(event_notices(events_from(batch, on_error)), device_places(devices()), batch_id)
+            sink.publish(encode(rows.where("placed = 'yes'").select(*OUTPUT)), name)
+            if unplaced is not None:
+                unplaced.publish(encode(rows.where("placed = 'never'").select(*OUTPUT)), name)
+            waiting.forget(batch.sparkSession, batch_id)
 
         return _start(arriving.writeStream.foreachBatch(write), checkpoint, trigger)
     if not isinstance(devices, DataFrame):
@@ -59,6 +79,34 @@ def enrichment_job(spark: SparkSession, devices: Topic | DataFrame | Callable[[]
     return _start(sink.publish_stream(encode(joined)), checkpoint, trigger)
 
 
+def _batch_name(checkpoint: str, batch_id: int) -> str:
+    """The same whenever the batch is run again, and no other job's."""
+    return f"{hashlib.md5(checkpoint.rstrip('/').encode()).hexdigest()[:12]}-{batch_id}"
+
+
+def late_job(spark: SparkSession, source: Topic, on_time: Topic, late: Topic, checkpoint: str,
+             lateness: Lateness, *, time_path: str = "$.eventTimestamp",
+             trigger: dict | None = None) -> StreamingQuery:
+    """Send every message on, or to ``late`` if all windows of its time are closed.
+
+    A window count drops such rows without a word; behind this job it meets none that is
+    late by the job's own watermark, and those that are can be looked at or counted again.
+    Messages without a readable time are sent on. One evaluation of each batch decides.
+    """
+    time = parse_time(json_value("value", time_path))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session, name = batch.sparkSession, _batch_name(checkpoint, batch_id)
+        is_late = lateness.late(session, time, batch_id)
+        rows, seen = lateness.observe(batch, time)
+        on_time.publish(rows.where(~is_late), name)
+        late.publish(batch.where(is_late), name)
+        lateness.note(session, batch_id, seen)
+
+    return _start(source.stream(spark).writeStream.foreachBatch(write), checkpoint,
+                  trigger or {"processingTime": "10 seconds"})
+
+
 def alert_job(spark: SparkSession, enriched: Topic, sink: Topic, checkpoint: str, *,
               status: str = "accessRejected", trigger: dict | None = None,
               one_state: bool = False, k: float = 3, floor: float = 5,
@@ -68,8 +116,8 @@ def alert_job(spark: SparkSession, enriched: Topic, sink: Topic, checkpoint: str
     As one chain of stream operators the topic is read twice, for counts and for
     statistics, and the join keeps state of its own. With ``one_state`` the stream
     only counts, and every micro-batch is judged as the whole windows it closes:
-    one read, a third of the state, but the sink is written at-least-once, as a
-    Kafka sink is anyway.
+    one read and a third of the state. File topics are written exactly-once, Kafka
+    at-least-once.
     """
     trigger = trigger or {"processingTime": "10 seconds"}
     events = enriched_from(enriched.stream(spark))
@@ -85,7 +133,7 @@ def alert_job(spark: SparkSession, enriched: Topic, sink: Topic, checkpoint: str
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         alerts = alerts_from_counts(batch, keys, size, k, floor, integer_stats, **judging)
-        sink.publish(encode(_shown(alerts)))
+        sink.publish(encode(_shown(alerts)), _batch_name(checkpoint, batch_id))
 
     return fan_out(closed_counts(events, where=picked, **settings), [judge], checkpoint, trigger)
 

@@ -6,7 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlens import plans
+from fleetlens import plans, storage
+from fleetlens.plans import manifest
 from fleetlens.session import scratch_dir
 
 from fixtures import device, values
@@ -227,3 +228,198 @@ def test_without_rebalance_the_rows_are_the_same(spark, events_table):
     a, b = (sorted(map(tuple, plans.read_table(spark, plans.EVENTS_GEO, p).collect()))
             for p in (path, events_table))
     assert a == b
+
+
+# The log ---------------------------------------------------------------------------
+
+def stored(spark, path):
+    return sorted((r["deviceId"], r["__time"]) for r in plans.read_table(spark, plans.EVENTS_GEO, path).collect())
+
+
+def test_load_names():
+    names = manifest.LoadNames.of("s-3") | manifest.LoadNames.of("x") | manifest.LoadNames.of("s-5")
+    names = names | manifest.LoadNames.of("s-4") | manifest.LoadNames.of("s-4")
+    assert names.names == {"-s": [[3, 5]], "=x": []}
+    assert all(n in names for n in ("s-3", "s-4", "s-5", "x"))
+    assert not any(n in names for n in ("s-2", "s-6", "s-04", "s", "y", "t-4"))
+
+
+def file_system_calls(spark, monkeypatch, work):
+    """Calls of ours, and files that Spark has listed."""
+    calls, found = [], spark._jvm.org.apache.spark.metrics.source.HiveCatalogMetrics.METRIC_FILES_DISCOVERED()
+    real = storage.file_system
+
+    def counted(session, path):
+        calls.append(path)
+        return real(session, path)
+
+    for module in (storage, manifest):
+        monkeypatch.setattr(module, "file_system", counted)
+    before = found.getCount()
+    work()
+    monkeypatch.undo()
+    return len(calls), found.getCount() - before
+
+
+def test_a_load_costs_the_same_however_many_days_there_are(spark, monkeypatch):
+    costs = {}
+    for days in (2, 25):
+        path = scratch_dir(spark, f"days-{days}")
+        texts = [enriched("d", f"2024-03-{d:02d}T12:00:00Z") for d in range(1, days + 1)]
+        plans.load(values(spark, texts), plans.EVENTS_GEO, path, "history")
+        plans.enable(spark, plans.EVENTS_GEO, path)
+        costs[days] = file_system_calls(spark, monkeypatch, lambda: plans.load(
+            values(spark, FOUR_DAYS[:1]), plans.EVENTS_GEO, path, "more"))
+        assert spark.sql("SELECT count(*) FROM EVENTS_GEO").first()[0] == days + 1
+        plans.disable(spark, plans.EVENTS_GEO)
+    assert costs[2] == costs[25]
+
+
+def test_a_view_lists_the_days_a_query_asks_for(spark, events_table):
+    plans.enable(spark, plans.EVENTS_GEO, events_table)
+    rows = spark.sql("SELECT * FROM EVENTS_GEO WHERE __date = DATE'2024-03-02'")
+    assert rows.count() == 3
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(__date" in plan
+    plans.disable(spark, plans.EVENTS_GEO)
+
+
+def test_two_sessions_have_tables_of_one_name(spark, events_table):
+    other, path = spark.newSession(), scratch_dir(spark, "other")
+    plans.load(values(spark, FOUR_DAYS[:2]), plans.EVENTS_GEO, path, "a")
+    plans.enable(spark, plans.EVENTS_GEO, events_table)
+    plans.enable(other, plans.EVENTS_GEO, path)
+    plans.load(values(spark, FOUR_DAYS[:1]), plans.EVENTS_GEO, path, "b")
+    assert [s.sql("SELECT count(*) FROM EVENTS_GEO").first()[0] for s in (spark, other)] == [12, 3]
+    plans.disable(other, plans.EVENTS_GEO)
+    assert spark.sql("SELECT count(*) FROM EVENTS_GEO").first()[0] == 12
+    plans.disable(spark, plans.EVENTS_GEO)
+
+
+def test_the_log_is_read_anew_and_stays_short(spark, monkeypatch):
+    monkeypatch.setattr(manifest, "SNAPSHOT_EVERY", 4)
+    path = scratch_dir(spark, "log")
+    for n in range(11):
+        plans.load(values(spark, FOUR_DAYS[n:n + 1]), plans.EVENTS_GEO, path, f"s-{n}")
+    names = storage.names(spark, f"{path}/_loads")
+    assert len([n for n in names if n.endswith(".json")]) <= 2 * 4 + 2
+    known = manifest.current(spark, path)
+    manifest._KNOWN.clear()
+    again = manifest.current(spark, path)
+    assert (again.version, again.folders, again.recent) == (11, known.folders, known.recent)
+    assert len(stored(spark, path)) == 11
+
+
+def test_of_two_writers_both_are_entered(spark, events_table, monkeypatch):
+    """Another process takes the number that this one was about to take."""
+    real, taken = manifest.write_json_new, []
+
+    def raced(session, folder, name, content):
+        if not taken:
+            taken.append(name)
+            real(session, folder, name, {"load": "theirs", "folders": {}, "at": "", "read": 5, "kept": 0})
+        return real(session, folder, name, content)
+
+    monkeypatch.setattr(manifest, "write_json_new", raced)
+    plans.load(values(spark, FOUR_DAYS[:1]), plans.EVENTS_GEO, events_table, "ours")
+    assert [r.load_id for r in plans.load_history(spark, events_table)] == ["a", "theirs", "ours"]
+    assert len(stored(spark, events_table)) == 13
+
+
+def test_what_is_not_entered_is_not_there(spark, events_table, monkeypatch):
+    def fails(*_):
+        raise OSError("no connection")
+
+    monkeypatch.setattr(manifest, "write_json_new", fails)
+    with pytest.raises(OSError):
+        plans.load(values(spark, FOUR_DAYS), plans.EVENTS_GEO, events_table, "b")
+    monkeypatch.undo()
+    assert len(stored(spark, events_table)) == 12
+    assert plans.remove_unused(spark, events_table) == 0  # it may still be entered
+    assert plans.remove_unused(spark, events_table, timedelta(0)) == 1
+    assert len(stored(spark, events_table)) == 12
+
+
+def test_compaction(spark):
+    path = scratch_dir(spark, "compacted")
+    for n, text in enumerate(FOUR_DAYS):
+        plans.load(values(spark, [text]), plans.EVENTS_GEO, path, f"s-{n}")
+    before = stored(spark, path)
+    earlier = plans.read_table(spark, plans.EVENTS_GEO, path)
+    assert plans.compact(spark, plans.EVENTS_GEO, path, before=date(2024, 3, 3)) == [date(2024, 3, 1), date(2024, 3, 2)]
+    assert stored(spark, path) == before
+    assert len(plans.read_table(spark, plans.EVENTS_GEO, path).inputFiles()) == 2 + 6
+    assert earlier.count() == 12  # a reader that began before the swap
+    assert plans.compact(spark, plans.EVENTS_GEO, path, before=date(2024, 3, 3)) == []
+    # A load that was compacted with others is made again, in a view too.
+    plans.enable(spark, plans.EVENTS_GEO, path)
+    plans.load(values(spark, [enriched("new", "2024-03-02T00:00:00Z")]), plans.EVENTS_GEO, path, "s-1")
+    want = sorted([r for r in before if r != ("d1", datetime(2024, 3, 1, 12, 0, 1))]
+                  + [("new", datetime(2024, 3, 2))])
+    seen = spark.sql("SELECT deviceId, __time FROM EVENTS_GEO").collect()
+    assert stored(spark, path) == sorted(map(tuple, seen)) == want
+    plans.load(values(spark, []), plans.EVENTS_GEO, path, "s-0")
+    plans.load(values(spark, []), plans.EVENTS_GEO, path, "s-2")
+    plans.compact(spark, plans.EVENTS_GEO, path)
+    assert stored(spark, path) == [r for r in want if r[1].day > 1] and len(want) == 12
+    assert spark.sql("SELECT count(*) FROM EVENTS_GEO").first()[0] == 10
+    plans.disable(spark, plans.EVENTS_GEO)
+    assert plans.remove_unused(spark, path, timedelta(0)) > 0
+    assert len(stored(spark, path)) == 10
+
+
+def test_compaction_leaves_days_alone_that_change_meanwhile(spark, monkeypatch):
+    path = scratch_dir(spark, "raced")
+    for n, text in enumerate(FOUR_DAYS):
+        plans.load(values(spark, [text]), plans.EVENTS_GEO, path, f"s-{n}")
+    from fleetlens.plans import maintenance
+    real = maintenance.write_part
+
+    def slow(*args):
+        part = real(*args)
+        plans.load(values(spark, []), plans.EVENTS_GEO, path, "s-0")
+        plans.delete_interval(spark, plans.EVENTS_GEO, path, date(2024, 3, 2), date(2024, 3, 3))
+        return part
+
+    monkeypatch.setattr(maintenance, "write_part", slow)
+    done = plans.compact(spark, plans.EVENTS_GEO, path)
+    assert done == [date(2024, 3, 3), date(2024, 3, 4)]
+    assert [t.day for _, t in stored(spark, path)].count(1) == 2 and len(stored(spark, path)) == 8
+
+
+def test_compaction_of_a_table_without_days(spark):
+    path = scratch_dir(spark, "devices")
+    for n in range(3):
+        plans.load(values(spark, [device(n)]), plans.DEVICES, path, f"s-{n}")
+    assert plans.compact(spark, plans.DEVICES, path, before=date(2024, 1, 1)) == []
+    rows = plans.read_table(spark, plans.DEVICES, path)
+    assert rows.count() == 3 and len(rows.inputFiles()) == 1
+    plans.enable(spark, plans.DEVICES, path)
+    assert spark.sql("SELECT `payload.location.city` FROM DEVICES").count() == 3
+    plans.disable(spark, plans.DEVICES)
+
+
+def test_replace_interval(spark, events_table):
+    days = (date(2024, 3, 2), date(2024, 3, 4))
+    one = spark.createDataFrame([(datetime(2024, 3, 3), "only", 1)], "__time TIMESTAMP, DEVICEID STRING, x INT")
+    report = plans.replace_interval(spark, plans.EVENTS_GEO, events_table, one, *days, "fix")
+    assert (report.kept, report.days) == (1, (date(2024, 3, 3),))
+    assert [d for d, _ in stored(spark, events_table)].count("only") == 1 and len(stored(spark, events_table)) == 7
+    for wrong in (datetime(2024, 3, 4), None):
+        rows = spark.createDataFrame([(wrong, "d")], "__time TIMESTAMP, deviceId STRING")
+        with pytest.raises(Exception, match="outside the interval"):
+            plans.replace_interval(spark, plans.EVENTS_GEO, events_table, rows, *days, "fix")
+    assert len(stored(spark, events_table)) == 7
+    plans.replace_interval(spark, plans.EVENTS_GEO, events_table, one.limit(0), *days, "fix")
+    assert len(stored(spark, events_table)) == 6
+    with pytest.raises(ValueError, match="no days"):
+        plans.replace_interval(spark, plans.DEVICES, events_table, one, *days, "fix")
+
+
+def test_loads_report_what_they_have_dropped(spark):
+    path = scratch_dir(spark, "counted")
+    texts = [*FOUR_DAYS[:4], "bad{", enriched("d", "soon")]
+    report = plans.load(values(spark, texts), plans.EVENTS_GEO, path, "a", end=datetime(2024, 3, 2))
+    assert (report.read, report.kept, report.dropped, report.days) == (6, 3, 3, (date(2024, 3, 1),))
+    assert plans.load(values(spark, []), plans.EVENTS_GEO, path, "b").read == 0
+    assert [(r.load_id, r.dropped) for r in plans.load_history(spark, path)] == [("a", 3), ("b", 0)]

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from fleetlens import operators as op, plans, schemas
 from fleetlens.session import scratch_dir
 from fleetlens.sources import FileTopic, decode
-from fleetlens.streaming import (alert_job, alerts_from, devices_from, enriched_from, enrichment_job,
-                                 events_from, fan_out)
+from fleetlens.streaming import (Lateness, WaitingEvents, alert_job, alerts_from, devices_from, enriched_from,
+                                 enrichment_job, events_from, fan_out, late_job)
 
 from fixtures import START, device, event, run_of_events, values
 
@@ -210,3 +210,118 @@ def test_fan_out_repeats_for_all_sinks(spark):
 
     fan_out(source.stream(spark), [sink("one"), sink("two")], scratch_dir(spark, "progress")).awaitTermination()
     assert got == {"one": [(0, 3)], "two": [(0, 3)]}
+
+
+def devices_of(rows):
+    return sorted(r["deviceId"] for r in rows.collect())
+
+
+def test_events_wait_for_their_device(spark):
+    sent, enriched, unplaced = (topic(spark, n, max_files_per_trigger=1) for n in ("ev", "geo", "never"))
+    checkpoint, known = scratch_dir(spark, "progress"), []
+    waiting = WaitingEvents(scratch_dir(spark, "waiting"), patience=2)
+
+    def step(*numbers, of=(), **settings):
+        known.extend(of)
+        sent.publish(values(spark, [event(f"d{n:02}", START) for n in numbers]).coalesce(1))
+        enrichment_job(spark, lambda: devices_from(values(spark, [device(n) for n in known])), sent, enriched,
+                       checkpoint, trigger=NOW, waiting=waiting, unplaced=unplaced, **settings).awaitTermination()
+        return devices_of(enriched_from(enriched.table(spark))), devices_of(enriched_from(unplaced.table(spark)))
+
+    assert step(1, 2, 3, of=[1]) == (["d01"], [])
+    assert step(2, of=[2]) == (["d01", "d02", "d02"], [])
+    assert step(1, of=[2]) == (["d01", "d01", "d02", "d02"], ["d03"])    # two batches are over
+    assert step(3, of=[3]) == (["d01", "d01", "d02", "d02", "d03"], ["d03"])
+    assert len([n for n in waiting_folders(spark, waiting) if n.startswith("batch-")]) <= 2
+
+
+def waiting_folders(spark, waiting):
+    from fleetlens.storage import names
+    return names(spark, waiting.path)
+
+
+def test_a_batch_that_is_placed_again_takes_what_is_there(spark):
+    waiting = WaitingEvents(scratch_dir(spark, "waiting"))
+    notices = op.enrich(events_from(values(spark, [event("d01", START), event("d02", START)])),
+                        devices_from(values(spark, [device(1), device(2)]))).select(
+        "deviceId", "messageName", "eventNotificationName", "timestamp", "eventTimestamp")
+    places = lambda n: spark.createDataFrame([(f"d{n:02}", "c", "r", "l")],
+                                             "deviceId STRING, deviceCity STRING, deviceRegion STRING, deviceLocation STRING")
+    first = sorted(map(tuple, waiting.place(notices, places(1), 0).select("deviceId", "placed").collect()))
+    again = sorted(map(tuple, waiting.place(notices, places(2), 0).select("deviceId", "placed").collect()))
+    assert first == again == [("d01", "yes"), ("d02", "waits")]
+    later = waiting.place(notices.limit(0), places(2), 1).select("deviceId", "placed", "waited").collect()
+    assert [tuple(r) for r in later] == [("d02", "yes", 1)]
+    assert waiting.place(notices.limit(0), places(2), 2).count() == 0
+
+
+def test_waiting_needs_devices_that_are_read_anew(spark):
+    with pytest.raises(ValueError, match="anew"):
+        enrichment_job(spark, devices_from(values(spark, [device(1)])), topic(spark, "a"), topic(spark, "b"),
+                       scratch_dir(spark, "p"), waiting=WaitingEvents(scratch_dir(spark, "w")))
+
+
+def test_a_batch_is_published_once(spark):
+    found = topic(spark, "batches")
+    for text in ("a", "b"):
+        found.publish(values(spark, [text]), "job-1")
+    found.publish(values(spark, ["c"]), "job-2")
+    found.publish(values(spark, ["d"]))
+    assert sorted(r["value"] for r in found.table(spark).collect()) == ["a", "c", "d"]
+    got, _ = run(found.stream(spark), spark)
+    assert sorted(r["value"] for r in got.collect()) == ["a", "c", "d"]
+    with pytest.raises(ValueError, match="name"):
+        found.publish(values(spark, ["e"]), "_job/1")
+
+
+def test_a_retried_batch_adds_no_message(spark):
+    """The second sink fails the first time, when the first one is written already."""
+    source, sink, tries = topic(spark, "source"), topic(spark, "sink"), []
+    source.publish(values(spark, ["a", "b"]))
+    checkpoint = scratch_dir(spark, "progress")
+
+    def fails_once(batch, number):
+        tries.append(number)
+        if len(tries) == 1:
+            raise OSError("no connection")
+
+    def step():
+        return fan_out(source.stream(spark), [lambda batch, n: sink.publish(batch, f"job-{n}"), fails_once], checkpoint)
+
+    with pytest.raises(Exception, match="no connection"):
+        step().awaitTermination()
+    step().awaitTermination()
+    assert tries == [0, 0] and sorted(r["value"] for r in sink.table(spark).collect()) == ["a", "b"]
+
+
+def test_late_rows_go_their_own_way(spark):
+    source, on_time, late = (topic(spark, n, max_files_per_trigger=1) for n in ("source", "on-time", "late"))
+    at = lambda name, seconds: geo(name, START + timedelta(seconds=seconds))
+    steps = [[at("a", 0), at("b", 300)], [at("edge", 205), at("in", 235), at("c", 301)], ["bad{"],
+             [at("d", 239), at("e", 246), at("f", 276)]]
+    for texts in steps:
+        source.publish(values(spark, texts).coalesce(1))
+    checkpoint, lateness = scratch_dir(spark, "p"), Lateness(scratch_dir(spark, "lateness"))
+    for _ in range(2):  # the second time nothing is new
+        late_job(spark, source, on_time, late, checkpoint, lateness, trigger=NOW).awaitTermination()
+    texts = [[r["value"] for r in t.table(spark).collect()] for t in (late, on_time)]
+    # By the second file the watermark is at 295 s, and the last windows of 205 and 235 have
+    # ended at 240 and 270; by the last file it is at 296 s, and that of 246 ends at 300.
+    assert sorted(json.loads(t)["deviceId"] for t in texts[0]) == ["d", "edge", "in"]
+    assert sorted(json.loads(t)["deviceId"] for t in texts[1] if t != "bad{") == ["a", "b", "c", "e", "f"]
+    assert "bad{" in texts[1]
+
+
+@pytest.mark.parametrize("panes", [True, False])
+def test_long_windows_on_a_stream_from_panes(spark, panes):
+    source = topic(spark, f"panes-{panes}", max_files_per_trigger=1)
+    for hour in range(0, 30, 5):
+        source.publish(values(spark, [geo(f"d{n % 3}", START + timedelta(hours=hour, minutes=13 * n))
+                                      for n in range(20)]).coalesce(1))
+    rows = enriched_from(source.stream(spark)).withWatermark("eventTimestamp", "5 seconds")
+    got, query = run(op.hop_counts(rows, ["deviceId"], "eventTimestamp", "8 hours", "1 hour", panes=panes), spark)
+    want = op.closed_before(op.hop_counts(enriched_from(source.table(spark)), ["deviceId"], "eventTimestamp",
+                                          "8 hours", "1 hour"),
+                            F.lit(START + timedelta(hours=25, minutes=13 * 19, seconds=-5)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 50
+    assert len(query.lastProgress["stateOperators"]) == 1 + panes
