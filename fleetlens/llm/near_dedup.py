@@ -192,7 +192,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     verified = leader_rounds(first, lambda pairs: _shared(pairs, sets).withColumn(
         "hit", F.expr(f"100 * shared >= {RELATED} * together")))
     links = verified.where(f"100 * shared >= {percent} * together").select("a", "b")
-    families = components(verified.where("hit"))
+    # A document leaves a bucket at its first hit, but what it is linked to may have none: it
+    # is near the same leader, as distances add up, and so in the family.
+    near = max(0, RELATED - (100 - percent))
+    families = components(verified.where(f"shared > 0 AND 100 * shared >= {near} * together"))
     links = saved(links, "links")
     across = saved(_across_components(families, components(links), sets, percent), "across")
     linked = components(links.unionByName(across))

@@ -136,6 +136,19 @@ def test_near_duplicates(spark, size, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_links_of_documents_that_leave_a_bucket_early(spark):
+    """A leads the others by half its text; B, which is like A, is near them, but not enough."""
+    a = [f"a{n}" for n in range(500)]
+    b = a[:488] + [f"b{n}" for n in range(12)]
+    others = [(n, " ".join(a[158:] + [f"o{n}.{i}" for i in range(168)])) for n in range(300)]
+    rows = [*others, (1000, " ".join(a)), (1001, " ".join(b))]
+    sets = word_sets(rows, 3)
+    like = [len(sets[i] & sets[0]) / len(sets[i] | sets[0]) for i in (1000, 1001)]
+    assert like[0] > 0.5 > like[1] > 0.47
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame(spark, rows), 3, 85).collect()}
+    assert got == {**{n: n for n, _ in others}, 1000: 1000, 1001: 1000}
+
+
 def test_near_duplicates_with_odd_ids(spark):
     got = near_dedup.near_duplicates(frame(spark, ODD)).collect()
     assert len(got) == len(ODD)
