@@ -1,8 +1,10 @@
 """Nearest neighbours by a permutation index.
 
-A vector is represented by the pivots nearest to it, in order. It is posted under the
-first few of them; a query looks into the lists of its own first pivots. What it finds
-there is ranked by Spearman's footrule between the two orders, and the best are ranked
+Nearness is the inner product, so vectors get one more coordinate that makes all of them
+as long as the longest, and queries a zero there: the angle between them then goes by the
+product. A vector is represented by the pivots nearest to it, in order. It is posted under
+the first few of them; a query looks into the lists of its own first pivots. What it finds
+there is ranked by Spearman's footrule between the two orders, and only the best are ranked
 again by their inner product in double precision. Equal vectors are one entry, with as
 many of their smallest ids as a result can hold. Lists are dealt out in blocks, so that a
 pivot with very many vectors or queries is shared by many tasks.
@@ -20,9 +22,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fleetlens.llm.common import saved
 
 #: Pivots; length of the order kept; lists a vector is posted in; lists a query looks into.
-PIVOTS, ORDER, POSTS, PROBES = 256, 64, 8, 28
+PIVOTS, ORDER, POSTS, PROBES = 256, 64, 8, 64
 #: Share of a list's new entries, best by footrule, that is ranked by inner product.
-RERANK = 0.5
+RERANK = 0.35
 _X_BLOCK, _Q_BLOCK = 4096, 512
 
 
@@ -47,15 +49,32 @@ def _entries(vectors: DataFrame, id_col: str, vector_col: str, keep: int) -> Dat
             .select("rep", "id", "turn", "vector"))
 
 
-def _ordered(entries: DataFrame, pivots: np.ndarray, order: int, lists: int) -> DataFrame:
+def _length(v: np.ndarray) -> float:
+    most = float(np.abs(v).max(initial=0.0))
+    return most * float(np.linalg.norm(v / most)) if most else 0.0
+
+
+def _lengthened(v: np.ndarray, longest: float, width: int) -> np.ndarray:
+    """The vector on ``width`` coordinates, and one that makes it as long as the longest; all
+    in parts of that."""
+    out = np.zeros(width + 1)
+    out[:min(len(v), width)] = v[:width] / longest
+    out[width] = np.sqrt(max(0.0, 1.0 - (_length(v) / longest) ** 2))
+    return out
+
+
+def _ordered(entries: DataFrame, pivots: np.ndarray, longest: float, order: int, lists: int,
+             queries: bool = False) -> DataFrame:
     """``rep, vector, pivots`` (16-bit numbers of the nearest pivots, in order), ``lists``
-    (the first of them)."""
+    (the first of them). Queries have nothing in the last coordinate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near = []
             for v in batch.column("vector").to_pylist():
-                at = pivots[:, :len(v)] @ np.asarray(v, float)[:pivots.shape[1]]
-                near.append(np.argsort(-at, kind="stable")[:order].astype(np.uint16))
+                x = _lengthened(np.asarray(v, float), longest, pivots.shape[1] - 1)
+                if queries:
+                    x[-1] = 0.0
+                near.append(np.argsort(-(pivots @ x), kind="stable")[:order].astype(np.uint16))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rep"), batch.column("vector"),
                  pa.array([n.tobytes() for n in near], pa.binary()),
@@ -84,7 +103,6 @@ def _search(posts: int, keep: int, n_pivots: int):
             rank = np.full((n_pivots, len(here)), order, np.int16)
             rank[near[0].T, np.arange(len(here))] = np.arange(order, dtype=np.int16)[:, None]
             place = np.arange(order, dtype=np.int16)[:, None]
-            guess = wanted @ vectors.T
             for i, (own, turn) in enumerate(zip(ask["rep"], ask["turn"])):
                 ranks = rank[near[1][i]]
                 new = np.flatnonzero(~(ranks[:turn] < posts).any(0))  # not met in an earlier list
@@ -93,8 +111,6 @@ def _search(posts: int, keep: int, n_pivots: int):
                 if len(new) > 2 * keep:
                     most = max(2 * keep, int(np.ceil(RERANK * len(new))))
                     new = new[np.argpartition(footrule, most - 1)[:most]] if most < len(new) else new
-                if len(new) > 2 * keep:
-                    new = new[np.argpartition(-guess[i, new], 2 * keep)[:2 * keep]]
                 score = (vectors[new] * wanted[i]).sum(1)
                 for j in np.lexsort((reps[new], -score))[:keep]:
                     out.append((own, reps[new[j]], score[j]))
@@ -121,19 +137,24 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id",
     entries = members.where("turn = 1").select("rep", "vector")
     chosen = entries.orderBy(F.xxhash64("rep", F.lit(5)), "rep").limit(PIVOTS).collect()
     width = max((len(r["vector"]) for r in chosen), default=1)
-    pivots = np.zeros((max(len(chosen), 1), width))
+    largest = F.array_max(F.transform("vector", lambda v: F.abs(v.cast("double"))))
+    parts = F.aggregate("vector", F.lit(0.0), lambda s, v: s + F.pow(v.cast("double") / F.col("largest"), 2))
+    longest = entries.withColumn("largest", largest).agg(
+        F.max(F.col("largest") * F.sqrt(parts)).alias("n")).first()["n"] or 1.0
+    pivots = np.zeros((max(len(chosen), 1), width + 1))
     for i, r in enumerate(chosen):
-        pivots[i, :len(r["vector"])] = np.array(r["vector"]) / np.linalg.norm(r["vector"])
+        pivots[i] = _lengthened(np.asarray(r["vector"], float), longest, width)
     full = len(pivots) < PIVOTS  # fewer entries than pivots: every list
     order = len(pivots) if full else ORDER
     posts, probes = (order, order) if full else (POSTS, PROBES)
-    ordered = saved(_ordered(entries, pivots, order, max(posts, probes)), "ordered")
+    ordered = saved(_ordered(entries, pivots, longest, order, posts), "ordered")
     queries = saved(vectors.where(F.col(id_col).isNotNull() & is_query(F.col(id_col)))
                     .select(F.col(id_col).cast("bigint").alias("query_id"),
                             _plain(vectors, vector_col).alias("vector")).distinct(), "queries")
     asked = saved(queries.join(ordered.select("rep", F.col("vector").alias("v")),
                                F.col("vector") == F.col("v")).select("query_id", "rep"), "asked")
-    wanted = ordered.join(asked.select("rep").distinct(), "rep", "left_semi")
+    wanted = saved(_ordered(entries.join(asked.select("rep").distinct(), "rep", "left_semi"), pivots, longest, order,
+                            probes, queries=True), "wanted")
     posted = ordered.select("*", F.posexplode(F.slice("lists", 1, posts)).alias("turn", "pivot"))
     probed = wanted.select("*", F.posexplode(F.slice("lists", 1, probes)).alias("turn", "pivot"))
     sizes = (posted.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / _X_BLOCK).cast("int").alias("nx"))

@@ -122,6 +122,19 @@ def test_recall(spark):
     assert sum(right) >= 0.9 * len(right)
 
 
+@pytest.mark.parametrize("sigma", [0.0, 0.6, 1.0])
+def test_recall_with_lengths_of_any_spread(spark, sigma):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(4000, 48)) * rng.lognormal(0, sigma, size=(4000, 1))
+    rows = [(i, v.round(4).tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    got = permutation_index.nearest(frame, lambda i: i % 20 == 0, k=20).collect()
+    found = {(r.query_id, r.vec_id) for r in got}
+    want = brute_nearest(rows, 20)
+    right = [(q, j) in found for q, best in want.items() for j, _ in best]
+    assert len(want) == 200 and sum(right) >= 0.9 * len(right)
+
+
 @needs_data
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_same_rows_as_sql(spark, name):
@@ -131,7 +144,7 @@ def test_same_rows_as_sql(spark, name):
 @needs_data
 def test_pipeline(spark):
     assert registered.queries()["pipeline"] is corpus_pipeline.run
-    assert [len([q for q in registered.queries() if q.startswith(f"op{n}_")]) for n in range(1, 11)] == [1] * 10
+    assert [len([q for q in registered.queries() if q.startswith(f"op{n}_")]) for n in range(1, 14)] == [1] * 13
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     columns, ids = docs.columns, {r.doc_id for r in docs.collect()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
