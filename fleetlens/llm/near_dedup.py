@@ -6,7 +6,8 @@ expanded into pairs: every member is compared with the bucket's leader on the fu
 Members that are not even related to it are compared with further leaders.
 What remains are related documents of one family that are linked to different leaders, or
 to none; those are compared in blocks, each pair of blocks in one task, and only across
-components.
+components. So are documents near a leader with those of its family that left the bucket
+before they could meet.
 """
 
 from __future__ import annotations
@@ -157,6 +158,44 @@ def _across_components(families: DataFrame, linked: DataFrame, sets: DataFrame,
             .applyInPandas(_links_of_blocks(percent), "a bigint, b bigint"))
 
 
+def _across_families(verified: DataFrame, families: DataFrame, linked: DataFrame, sets: DataFrame,
+                     percent: int) -> DataFrame:
+    """Links ``a, b`` between a document that had a hit with a leader and one that had none.
+
+    A document leaves a bucket at its first hit, with a leader at ``RELATED`` or more. What it
+    is linked to may miss that, but is near the same leader, as distances add up: at
+    ``RELATED - (100 - percent)`` or more. So what is near a leader and of another family is
+    compared, in blocks, with what had a hit with that leader.
+    """
+    least = max(0, RELATED - (100 - percent))
+    family, component = (rows.select(F.col("node").alias(side), F.col("component").alias(f"{name}_{side}"))
+                         for rows, name, side in ((families, "f", "a"), (linked, "c", "a")))
+    close = (verified.where(f"NOT hit AND shared > 0 AND 100 * shared >= {least} * together").select("a", "b").distinct()
+             .join(family, "a", "left").join(family.toDF("b", "f_b"), "b", "left")
+             .where(F.coalesce("f_a", "a") != F.coalesce("f_b", "b")).select("a", "b"))
+    close = saved(close, "close")
+    held = saved(verified.where("hit").select("a", "b").distinct()
+                 .join(close.select("b").distinct(), "b", "left_semi"), "held")
+
+    def blocks_of(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+
+    counts = saved(blocks_of(close, "n_close").join(blocks_of(held, "n_held"), "b"), "leader-blocks")
+
+    def dealt(rows: DataFrame, own: str, other: str, side: int) -> DataFrame:
+        own_block = F.pmod(F.xxhash64("a"), F.col(own)).cast("int")
+        others = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        i, j = ("own", "other") if side == 0 else ("other", "own")
+        return (rows.join(counts, "b").withColumn("own", own_block).withColumn("other", others)
+                .select(F.col("b").alias("leader"), F.col("a").alias("id"), F.col(i).alias("i"), F.col(j).alias("j"),
+                        F.lit(side).alias("side")))
+
+    both = dealt(close, "n_close", "n_held", 0).unionByName(dealt(held, "n_held", "n_close", 1))
+    named = both.join(component.toDF("id", "c"), "id", "left").withColumn("component", F.coalesce("c", "id")).drop("c")
+    return (named.join(sets, "id").groupBy("leader", "i", "j")
+            .applyInPandas(_links_of_blocks(percent), "a bigint, b bigint"))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = BANDS,
                     rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, text_key, n_shingles, component_id, kept`` for every row.
@@ -192,12 +231,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     verified = leader_rounds(first, lambda pairs: _shared(pairs, sets).withColumn(
         "hit", F.expr(f"100 * shared >= {RELATED} * together")))
     links = verified.where(f"100 * shared >= {percent} * together").select("a", "b")
-    # A document leaves a bucket at its first hit, but what it is linked to may have none: it
-    # is near the same leader, as distances add up, and so in the family.
-    near = max(0, RELATED - (100 - percent))
-    families = components(verified.where(f"shared > 0 AND 100 * shared >= {near} * together"))
+    families = components(verified.where("hit"))
     links = saved(links, "links")
-    across = saved(_across_components(families, components(links), sets, percent), "across")
+    linked = components(links)
+    across = saved(_across_components(families, linked, sets, percent)
+                   .unionByName(_across_families(verified, families, linked, sets, percent)), "across")
     linked = components(links.unionByName(across))
     decided = classes.join(linked, F.col("rep") == F.col("node"), "left").select(
         "set_key", F.coalesce("component", "rep").alias("component"))
