@@ -208,9 +208,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
               .groupBy(F.col(id_col).alias("_id"))
               .agg((F.avg(label_col) >= 0.5).cast("int").alias("_label"))
               .orderBy(F.xxhash64("_id"), "_id").limit(sample_rows))
-    sample = (docs.where(F.octet_length(text_col) <= SAMPLE_BYTES)
-              .join(F.broadcast(chosen), F.col(id_col) == F.col("_id"))
-              .select(F.col(text_col).alias("text"), F.col("_label").alias("label"))).toPandas()
+    texts = docs.where(F.octet_length(text_col) <= SAMPLE_BYTES).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = (texts.join(F.broadcast(chosen), F.col("id") == F.col("_id"))
+              .select("text", F.col("_label").alias("label"))).toPandas()
     return learn(sample["text"].tolist(), sample["label"].tolist())
 
 

@@ -228,6 +228,8 @@ def test_held_out_accuracy(spark):
     # Labels that are held out change nothing.
     others = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert toxicity.train(docs, others) == model
+    clashing = docs.withColumns({"_id": F.lit(0), "_label": F.lit(1), "id": F.lit(2)})
+    assert toxicity.train(clashing, labels.withColumn("_id", F.lit(3))) == model
 
 
 def test_toxicity_of_odd_tables(spark):
