@@ -43,6 +43,18 @@ def deviation_alerts_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir)
 
 
+@query(sql.alerts(2 * sql.DAY, sql.DAY, 3, 5, source="""(
+    SELECT ts, user_id, event_type FROM events,
+           range(CASE WHEN user_id % 50 = 7 AND day(ts) BETWEEN 10 AND 14 THEN 25 ELSE 1 END))"""))
+def deviation_alerts_disrupted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean, three deviations and five: some devices send every event 25 times for five days."""
+    disrupted = (F.col("user_id") % 50 == 7) & F.dayofmonth("ts").between(10, 14)
+    times = F.explode(F.array_repeat(F.lit(0), F.when(disrupted, 25).otherwise(1))).alias("again")
+    rows = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", times)
+    return op.deviation_alerts(rows, key="user_id", also=(), time="ts", where=F.col("event_type") == "error",
+                               size="2 days", slide="1 day")
+
+
 @query(sql.alerts(4 * sql.DAY, 2 * sql.DAY, 2, 0))
 def deviation_alerts_4d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir, size="4 days", slide="2 days", k=2, floor=0)

@@ -228,3 +228,26 @@ def topic_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = events_from(topic.table(spark))
     return found.groupBy(F.get_json_object("payload", "$.notificationName").alias("name")).agg(
         F.count("*").alias("n"))
+
+
+@query("""
+    SELECT event_id, CASE WHEN day(ts) <= 16 THEN n_name ELSE upper(n_name) || '!' END AS region
+    FROM events LEFT JOIN customer ON user_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+    WHERE c_custkey IS NOT NULL""")
+def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that change between two micro-batches."""
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("region"))
+    lookup, out = plans.Lookup(scratch_dir(spark, "lookup"), "nation"), scratch_dir(spark, "looked-up")
+    lookup.publish(nations)
+    rows = table(spark, sf_dir, "events").join(table(spark, sf_dir, "customer"), F.col("user_id") == F.col("c_custkey"))
+    rows = rows.select("event_id", "ts", F.col("c_nationkey").alias("nation"))
+    half = (F.dayofmonth("ts") > 16).cast("int")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        found = lookup.join(batch)
+        found.select("event_id", "region").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        lookup.publish(nations.withColumn("region", F.concat(F.upper("region"), F.lit("!"))))
+
+    fan_out(in_steps(rows, half, 2, scratch_dir(spark, "halves")), [write],
+            scratch_dir(spark, "lookup-progress")).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "region")

@@ -319,6 +319,45 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(reports, "load STRING, n_read BIGINT, n_kept BIGINT")
 
 
+_DEVICES_A_DAY = f"""
+    SELECT "__date" AS day, count(*) AS n, count(DISTINCT "deviceId") AS devices FROM ({_STORED_EVENTS})
+    GROUP BY 1"""
+
+
+@query(f"SELECT day, n, devices, TRUE AS near FROM ({_DEVICES_A_DAY})")
+def distinct_devices_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts from sketches, within 5 percent (three times the stated error) of the truth."""
+    rows = plans.read_table(spark, plans.EVENTS_GEO, _events_table(spark, sf_dir, "sketched"))
+    sketches = plans.day_sketches(rows, distinct=["deviceId"])
+    exact = rows.groupBy("__date").agg(F.count_distinct("deviceId").alias("devices"))
+    off = F.abs(plans.distinct_count("deviceId") - F.col("devices"))
+    return sketches.join(exact, "__date").select(
+        F.col("__date").cast("string").alias("day"), F.col("rows").alias("n"), "devices",
+        (off <= F.greatest(F.col("devices") * 0.05, F.lit(1))).alias("near"))
+
+
+@query("""
+    SELECT event_type AS kind, count(*) AS n, TRUE AS devices_near, TRUE AS middle_near
+    FROM events JOIN customer ON user_id = c_custkey WHERE value IS NOT NULL GROUP BY 1""")
+def merged_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches per day and kind, written, read and merged over the whole time."""
+    events_, customers = table(spark, sf_dir, "events"), table(spark, sf_dir, "customer")
+    rows = (events_.join(customers, F.col("user_id") == F.col("c_custkey")).where("value IS NOT NULL")
+            .select(F.to_date("ts").alias("__date"), F.col("event_type").alias("kind"), "user_id", "value"))
+    path = scratch_dir(spark, "sketches")
+    plans.day_sketches(rows, ["kind"], ["user_id"], ["value"]).write.parquet(path)
+    found = plans.merged(spark.read.parquet(path), ["kind"]).withColumns({
+        "about": plans.distinct_count("user_id"), "middle": plans.quantile("value", 0.5)})
+    exact = rows.groupBy("kind").agg(F.count_distinct("user_id").alias("devices"))
+    share = (rows.join(found.select("kind", "middle"), "kind").groupBy("kind")
+             .agg(F.avg((F.col("value") <= F.col("middle")).cast("double")).alias("share")))
+    off = F.abs(F.col("about") - F.col("devices"))
+    return found.join(exact, "kind").join(share, "kind").select(
+        "kind", F.col("rows").alias("n"),
+        (off <= F.greatest(F.col("devices") * 0.05, F.lit(1))).alias("devices_near"),
+        (F.abs(F.col("share") - 0.5) <= 0.05).alias("middle_near"))
+
+
 # Reports --------------------------------------------------------------------------
 
 @query(f'SELECT "deviceId", latitude, longitude FROM ({_STORED_DEVICES})')

@@ -423,3 +423,44 @@ def test_loads_report_what_they_have_dropped(spark):
     assert (report.read, report.kept, report.dropped, report.days) == (6, 3, 3, (date(2024, 3, 1),))
     assert plans.load(values(spark, []), plans.EVENTS_GEO, path, "b").read == 0
     assert [(r.load_id, r.dropped) for r in plans.load_history(spark, path)] == [("a", 3), ("b", 0)]
+
+
+# Sketches and lookups ---------------------------------------------------------------
+
+def test_sketches_of_days_add_up(spark):
+    rows = spark.range(30_000).selectExpr("date_add(DATE'2024-03-01', CAST(id % 3 AS INT)) AS __date",
+                                          "CAST(id % 2 AS STRING) AS `a.b`", "id % 1000 AS device", "id AS value")
+    sketches = plans.day_sketches(rows, ["a.b"], ["device"], ["value"])
+    assert sketches.count() == 6 and sketches.agg(F.sum("rows")).first()[0] == 30_000
+    found = plans.merged(sketches).select("rows", plans.distinct_count("device").alias("n"),
+                                          plans.quantile("value", 0.25).alias("q")).first()
+    assert found["rows"] == 30_000 and abs(found["n"] - 1000) < 50 and abs(found["q"] - 7500) < 1500
+    some = plans.merged(sketches.where("`a.b` = '1'"), ["__date"]).select(plans.distinct_count("device").alias("n"))
+    assert all(abs(r["n"] - 500) < 30 for r in some.collect())
+
+
+def test_sketches_of_nothing(spark):
+    rows = spark.createDataFrame([(date(2024, 3, 1), None, None)], "__date DATE, device STRING, value DOUBLE")
+    found = plans.merged(plans.day_sketches(rows, (), ["device"], ["value"])).select(
+        "rows", plans.distinct_count("device").alias("n"), plans.quantile("value", 0.5).alias("q")).first()
+    assert tuple(found) == (1, 0, None)
+    assert plans.day_sketches(rows.limit(0), (), ["device"], ["value"]).count() == 0
+
+
+def test_lookup(spark):
+    lookup = plans.Lookup(scratch_dir(spark, "lookup"), "k", keep=2)
+    with pytest.raises(ValueError, match="nothing published"):
+        lookup.rows(spark)
+    version = lambda *names: spark.createDataFrame(list(enumerate(names)), "k INT, name STRING")
+    assert lookup.publish(version("a", "b")) == 1
+    begun = lookup.rows(spark)
+    assert lookup.publish(version("x")) == 2
+    rows = spark.createDataFrame([(0, "r"), (1, "s"), (None, "t")], "k INT, row STRING")
+    assert sorted((r["row"], r["name"]) for r in lookup.join(rows).collect()) == [("r", "x"), ("s", None), ("t", None)]
+    assert sorted(r["name"] for r in begun.collect()) == ["a", "b"]
+    shuffled = lookup.join(rows, limit=0)
+    assert shuffled.count() == 3 and shuffled.columns == ["k", "row", "name"]
+    for wrong in (version("a").unionByName(version("b")), spark.createDataFrame([(None, "z")], "k INT, name STRING")):
+        with pytest.raises(ValueError, match="null or repeated"):
+            lookup.publish(wrong)
+    assert [lookup.publish(version("y")) for _ in range(2)] == [3, 4] and lookup.versions(spark) == [3, 4]
