@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from fleetlens.llm.common import saved
 
 
-def _state(stars: DataFrame) -> tuple:
-    return tuple(stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("child", "parent").cast("decimal(38,0)"))
-                           ).first())
+def _done(stars: DataFrame) -> bool:
+    """Whether every child hangs on one parent that is no child itself."""
+    ends = (stars.select(F.col("child").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .unionByName(stars.select(F.col("parent").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+    return (ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+            .agg(F.count_if(F.expr("up > 1 or (up > 0 and down > 0)")).alias("n")).first().n == 0)
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -24,8 +27,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     stars = saved(links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
                   .select(F.greatest(a, b).alias("child"), F.least(a, b).alias("parent"))
                   .distinct(), "links")
-    state = _state(stars)
-    while True:
+    while not _done(stars):
         both = stars.unionByName(stars.select(F.col("parent").alias("child"),
                                               F.col("child").alias("parent")))
         least = saved(both.groupBy("child").agg(F.min("parent").alias("m"))
@@ -41,9 +43,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                       .select(F.col("parent").alias("child"), F.col("least").alias("parent"))
                       .unionByName(large.groupBy("child").agg(F.min("parent").alias("parent")))
                       .distinct(), "stars")
-        before, state = state, _state(stars)
-        if state == before:
-            break
     roots = stars.select(F.col("parent").alias("node")).distinct()
     return saved(stars.select(F.col("child").alias("node"), F.col("parent").alias("component"))
                  .unionByName(roots.select("node", F.col("node").alias("component"))), "components")

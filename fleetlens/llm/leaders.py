@@ -11,9 +11,12 @@ from fleetlens.llm.common import saved
 
 #: Times more leaders in each round.
 FAN = 4
+#: Members left in a bucket that are compared with each other, not with further leaders.
+SMALL = 4096
 
 
-def leader_rounds(pairs: DataFrame, compare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def leader_rounds(pairs: DataFrame, compare: Callable[[DataFrame], DataFrame],
+                  left: list[DataFrame] | None = None, after: int = 1) -> DataFrame:
     """All comparisons made, as ``compare`` returns them.
 
     ``pairs`` has ``bucket, a, b``: members and their bucket's first leader. ``compare`` takes
@@ -21,10 +24,15 @@ def leader_rounds(pairs: DataFrame, compare: Callable[[DataFrame], DataFrame]) -
     this bucket. Members without a hit meet 4 leaders of their own in the next round, then 16,
     and so on, until each has had a hit or has led; so the rounds grow with the logarithm of
     a bucket. Leaders are the smallest members, found without gathering a bucket in one task.
+
+    Members that are like none of many leaders make pairs with the square of their number. If
+    ``left`` is a list, members of buckets that still have ``SMALL`` or fewer of them after that
+    many rounds are put there (``bucket, member``): the caller has to compare all of a bucket
+    with each other. Larger buckets go on here.
     """
     pairs = saved(pairs.select("bucket", "a", "b"), "pairs")
     found: list[DataFrame] = []
-    led, leaders = None, 1
+    led, leaders, rounds = None, 1, 0
     while True:
         checked = saved(compare(pairs.select("a", "b").distinct()), "compared")
         found.append(checked)
@@ -36,7 +44,11 @@ def leader_rounds(pairs: DataFrame, compare: Callable[[DataFrame], DataFrame]) -
             alone = alone.join(led, (F.col("bucket") == F.col("of")) & (F.col("member") == F.col("b")),
                                "left_anti")
         rest = saved(alone, "rest")
-        leaders *= FAN
+        leaders, rounds = leaders * FAN, rounds + 1
+        if left is not None and rounds == after:
+            sized = saved(rest.join(rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "bucket"), "sized")
+            left.append(sized.where(F.col("n").between(2, SMALL)).select("bucket", "member"))
+            rest = sized.where(F.col("n") > SMALL).select("bucket", "member")
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("member"))
         led = saved(rest.withColumn("rank", rank).where(F.col("rank") <= leaders)
                     .select(F.col("bucket").alias("of"), F.col("member").alias("b")), "leaders")

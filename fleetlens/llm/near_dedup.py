@@ -3,7 +3,8 @@
 Documents with the same shingle set are one class, and only its representative goes on.
 Representatives that share a band of signature coordinates form a bucket. Buckets are not
 expanded into pairs: every member is compared with the bucket's leader on the full sets.
-Members that are not even related to it are compared with further leaders.
+Members that are not even related to it are compared with each other in blocks, or, while
+there are many, with further leaders.
 What remains are related documents of one family that are linked to different leaders, or
 to none; those are compared in blocks, each pair of blocks in one task, and only across
 components. So are documents near a leader with those of its family that left the bucket
@@ -137,10 +138,12 @@ def _links_of_blocks(percent: int):
     return run
 
 
-def _across_components(families: DataFrame, linked: DataFrame, sets: DataFrame,
-                       percent: int) -> DataFrame:
-    """Links ``a, b`` between components of one family."""
+def _across_components(families: DataFrame, left: list[DataFrame], linked: DataFrame,
+                       sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between components of one family, or of the members left in one bucket."""
     member = families.select(F.col("node").alias("id"), F.col("component").alias("family"))
+    for rest in left:
+        member = member.unionByName(rest.select(F.col("member").alias("id"), F.col("bucket").alias("family")))
     member = member.join(linked.select(F.col("node").alias("id"), F.col("component").alias("c")),
                          "id", "left").select("id", "family", F.coalesce("c", "id").alias("component"))
     member = saved(member, "family-members")
@@ -228,15 +231,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     sets = saved(_full_sets(wanted, shingle_words).dropDuplicates(["id", "hashes"]), "sets")
     first = active.where("member != leader").select("bucket", F.col("member").alias("a"),
                                                     F.col("leader").alias("b"))
+    left: list[DataFrame] = []
+
     verified = leader_rounds(first, lambda pairs: _shared(pairs, sets).withColumn(
-        "hit", F.expr(f"100 * shared >= {RELATED} * together")))
+        "hit", F.expr(f"100 * shared >= {RELATED} * together")), left)
     links = verified.where(f"100 * shared >= {percent} * together").select("a", "b")
     families = components(verified.where("hit"))
     links = saved(links, "links")
     linked = components(links)
-    across = saved(_across_components(families, linked, sets, percent)
+    across = saved(_across_components(families, left, linked, sets, percent)
                    .unionByName(_across_families(verified, families, linked, sets, percent)), "across")
-    linked = components(links.unionByName(across))
+    linked = _lifted(linked, across)
     decided = classes.join(linked, F.col("rep") == F.col("node"), "left").select(
         "set_key", F.coalesce("component", "rep").alias("component"))
     out = described.drop("bands").join(
@@ -248,6 +253,18 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
                       F.coalesce(F.col("id") == component, component.isNull()).alias("kept"))
 
 
+def _lifted(linked: DataFrame, across: DataFrame) -> DataFrame:
+    """The components of ``linked`` with links ``a, b`` between them: only these are gone over."""
+    if across.isEmpty():
+        return linked
+    of = linked.select("node", "component")
+    between = (across.join(of.toDF("a", "ca"), "a", "left").join(of.toDF("b", "cb"), "b", "left")
+               .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).distinct())
+    upper = components(saved(between, "between")).toDF("one", "above")
+    return saved(linked.join(upper, F.col("component") == F.col("one"), "full").select(
+        F.coalesce("node", "one").alias("node"), F.coalesce("above", "component").alias("component")), "lifted")
+
+
 def _shared_buckets(reps: DataFrame) -> DataFrame:
     """``bucket, member, leader`` of buckets with several members; the smallest leads."""
     led = (reps.groupBy("bucket").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"))

@@ -1,6 +1,7 @@
 """Exact, near and line dedup against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm import exact_dedup, line_dedup, near_dedup
 from fleetlens.llm.components import components
+from fleetlens.llm.leaders import leader_rounds
 from fleetlens.llm.shingles import Shingler
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -239,6 +241,49 @@ def test_links_across_components(spark):
     assert direct != want  # leaders alone lose some
 
 
+def test_what_leaders_leave_is_not_paired(spark):
+    """Members that are like none make few comparisons; every pair is compared or left together."""
+    m, made, left = 120, [], []
+    pairs = spark.createDataFrame([(0, n, 0) for n in range(1, m)], "bucket BIGINT, a BIGINT, b BIGINT")
+
+    def compare(pairs):
+        made.extend((r.b, r.a) for r in pairs.collect())
+        return pairs.withColumn("hit", F.lit(False))
+
+    leader_rounds(pairs, compare, left, after=2)
+    rest = sorted(r.member for rows in left for r in rows.collect())
+    assert len(made) < 5 * m
+    assert set(made) | set(itertools.combinations(rest, 2)) == set(itertools.combinations(range(m), 2))
+
+
+@pytest.mark.parametrize("block", [256, 5])
+def test_like_lines_among_those_left(spark, monkeypatch, block):
+    """Lines of one family that are mostly unlike, and a few copies that leaders do not meet."""
+    draw, rows = random.Random(6), []
+    base = prose(draw, 40)
+    for n in range(60):
+        line = edited(draw, base, draw.choice([4, 5, 6]))
+        rows.append((n, line))
+        if n % 6 == 5:
+            rows.append((1000 + n, edited(draw, line, 1)))
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    got = line_dedup.line_components(frame(spark, rows)).collect()
+    assert {((r.id, r.line_no), (r.first_id, r.first_line)) for r in got} == line_brute(rows)
+
+
+def test_documents_left_in_a_bucket_meet_in_blocks(spark, monkeypatch):
+    """One comparison per member with a leader, whatever a bucket's members are like."""
+    made, shared = [], near_dedup._shared
+    common, rows = [f"c{n}" for n in range(120)], []
+    for n in range(40):  # a third in common: buckets, but no hit with a leader
+        rows.append((n, " ".join(common + [f"o{n}.{i}" for i in range(150)])))
+    rows += [(100 + n, rows[n][1] + " more") for n in range(0, 40, 7)]
+    monkeypatch.setattr(near_dedup, "_shared", lambda p, s: (made.append(p.count()), shared(p, s))[1])
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame(spark, rows), 3, 85, bands=8, rows=1).collect()}
+    assert got == {i: i % 100 for i, _ in rows}
+    assert len(made) == 1
+
+
 def test_like_lines_of_any_number_of_blanks(spark):
     """Few blanks against many, sparse lines against dense ones, runs of blanks."""
     draw = random.Random(2)
