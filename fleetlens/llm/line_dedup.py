@@ -2,8 +2,9 @@
 
 Lines are compared by their sets of character shingles. Every distinct line gets minima
 of hashed shingles under many permutations; lines that agree on a band of minima form a
-bucket, whose members are compared with its leaders by exact Jaccard similarity. Lines
-that are near a leader, but not linked to it, are compared in blocks with those that are.
+bucket, whose members are compared with its leaders by exact Jaccard similarity; those left
+are compared with each other in blocks. Lines that are near a leader, but not linked to it,
+are compared in blocks with those that are.
 Links are joined to components, and of each component the first line in document order stays.
 
 Line text is never shuffled as a whole. What leaves the scan is a signature per distinct
@@ -14,6 +15,7 @@ of fixed size, broadcast, keep other rows out of these shuffles.
 from __future__ import annotations
 
 import random
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -86,26 +88,29 @@ def _passing(rows: DataFrame, column: str, bits: DataFrame) -> DataFrame:
             .where(bit == 1).drop("page", "bits"))
 
 
-def _set_of(line: Column) -> Column:
-    return F.when(F.length(line) <= SHINGLE, F.array(line)).otherwise(
-        F.array_distinct(_shingles(line)))
+def _all_hashes(line: Column) -> Column:
+    """64-bit hashes of all shingles, repeats too."""
+    return F.when(F.length(line) <= SHINGLE, F.array(F.xxhash64(line))).otherwise(
+        F.transform(_shingles(line), lambda s: F.xxhash64(s)))
 
 
 def _hashes(line: Column) -> Column:
     """The set as 64-bit hashes, which take less room."""
-    return F.transform(_set_of(line), lambda s: F.xxhash64(s))
+    return F.array_distinct(_all_hashes(line))
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int, near: int) -> DataFrame:
-    """The pairs ``a, b`` whose exact similarity is ``near`` or more, and whether it is a
-    ``hit``: ``percent`` or more. Sets of too different sizes cannot be that similar, and are
-    not taken from their lines again."""
-    sides = [texts.select(F.col("key").alias(key), F.col("line").alias(line), F.col("n").alias(n))
-             for key, line, n in (("a", "x", "nx"), ("b", "y", "ny"))]
-    sized = (pairs.join(sides[0], "a").join(sides[1], "b")
+    """The pairs ``a, b`` whose similarity is ``near`` or more, and whether it is a ``hit``:
+    ``percent`` or more. Sets of too different sizes cannot be that similar, and are not taken
+    from their lines again. A leader's set is taken once, not once per pair."""
+    leaders = texts.join(pairs.select(F.col("b").alias("key")).distinct(), "key", "left_semi").select(
+        F.col("key").alias("b"), _hashes(F.col("line")).alias("y"), F.col("n").alias("ny"))
+    members = texts.select(F.col("key").alias("a"), F.col("line").alias("x"), F.col("n").alias("nx"))
+    shared = F.size(F.array_intersect(_all_hashes(F.col("x")), F.col("y")))
+    # A filter on what a generator returns stays behind it: sets are not met twice per pair.
+    sized = (pairs.join(members, "a").join(leaders, "b")
              .where(100 * F.least("nx", "ny") >= near * F.greatest("nx", "ny"))
-             .select("a", "b", F.size(F.array_intersect(_set_of(F.col("x")), _set_of(F.col("y"))))
-                     .alias("shared"), (F.col("nx") + F.col("ny")).alias("sum")))
+             .select("a", "b", F.explode(F.array(shared)).alias("shared"), (F.col("nx") + F.col("ny")).alias("sum")))
     together = F.col("sum") - F.col("shared")
     return sized.where(100 * F.col("shared") >= near * together).select(
         "a", "b", (100 * F.col("shared") >= percent * together).alias("hit"))
@@ -117,6 +122,41 @@ def _dealt(members: DataFrame, n_own: str, n_other: str) -> DataFrame:
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col(n_other) - 1))))
 
 
+def _like(x: Column, y: Column, percent: int) -> Column:
+    """Whether two sets are alike; sets of too different sizes are not met."""
+    n, m = F.size(x), F.size(y)
+    # 100 * shared >= percent * (n + m - shared), with the sets met once
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & ((100 + percent) * F.size(F.array_intersect(x, y)) >= percent * (n + m)))
+
+
+def _within(left: DataFrame, linked: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between components: all like lines of what leaders left in a bucket."""
+    of = linked.select(F.col("node").alias("key"), "component")
+    members = saved(left.select("bucket", F.col("member").alias("key")).join(of, "key", "left")
+                    .select("bucket", "key", F.coalesce("component", "key").alias("c")), "left")
+    counts = (members.join(texts.select("key", "n"), "key").groupBy("bucket")
+              .agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.ceil(F.greatest(
+                  F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("n_blocks"))
+              .where("lo < hi").select("bucket", "n_blocks"))
+    dealt = (_dealt(members.join(saved(counts, "left-blocks"), "bucket"), "n_blocks", "n_blocks")
+             .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                     "own", "c", "key"))
+    member = F.struct("c", "s")
+    grouped = (dealt.join(texts.select("key", _hashes(F.col("line")).alias("s")), "key")
+               .groupBy("bucket", "i", "j").agg(
+                   F.collect_list(F.when(F.col("own") == F.col("i"), member)).alias("xs"),
+                   F.collect_list(F.when(F.col("own") == F.col("j"), member)).alias("ys")))
+
+    def of_one(x: Column) -> Column:
+        new = lambda y: (x["c"] < y["c"]) | ((x["c"] != y["c"]) & (F.col("i") != F.col("j")))
+        return F.transform(F.filter("ys", lambda y: new(y) & _like(x["s"], y["s"], percent)),
+                           lambda y: F.struct(x["c"].alias("a"), y["c"].alias("b")))
+
+    return grouped.select(F.explode(F.array_distinct(F.flatten(F.transform("xs", of_one)))).alias("link")
+                          ).select("link.a", "link.b")
+
+
 def _across(compared: DataFrame, linked: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` between components: lines near a leader that are like a line linked to it.
 
@@ -150,21 +190,18 @@ def _across(compared: DataFrame, linked: DataFrame, texts: DataFrame, percent: i
         F.collect_list(F.when(F.col("ca").isNotNull(), F.struct("ca", "s"))).alias("xs"),
         F.collect_list(F.when(F.col("ca").isNull(), F.col("s"))).alias("ys"))
 
-    def like(x: Column, y: Column) -> Column:
-        n, m = F.size(x), F.size(y)
-        shared = F.size(F.array_intersect(x, y))
-        return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
-                & (100 * shared >= percent * (n + m - shared)))
-
-    found = F.filter("xs", lambda x: F.exists("ys", lambda y: like(x["s"], y)))
+    found = F.filter("xs", lambda x: F.exists("ys", lambda y: _like(x["s"], y, percent)))
     return grouped.select("cb", F.explode(F.array_distinct(F.transform(found, lambda x: x["ca"])))
                           .alias("ca")).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
 
 
-def _joined(compared: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """``node, component`` of the lines linked by leaders or across components."""
+def _joined(compared: DataFrame, texts: DataFrame, percent: int, left: Sequence[DataFrame] = ()) -> DataFrame:
+    """``node, component`` of the lines linked by leaders, across components or among those left."""
     linked = components(compared.where("hit"))
-    more = saved(_across(compared, linked, texts, percent), "across")
+    more = _across(compared, linked, texts, percent)
+    for rest in left:
+        more = more.unionByName(_within(rest, linked, texts, percent))
+    more = saved(more, "across")
     if more.isEmpty():
         return linked
     upper = components(more).toDF("one", "above")
@@ -180,10 +217,11 @@ def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
 
     Two lines are alike if the Jaccard similarity of their sets of 7-character shingles is
     ``percent`` or more; a line of up to 7 characters is its only shingle. Lines of a bucket
-    are compared with its leader; those not linked to it with further leaders, until each is
-    linked or has led. Lines near a leader are then compared with those linked to it, by 64-bit
-    hashes of shingles, so that components are those of all pairs of a bucket. The first line is the one of the smallest
-    id, then text and place. Blank lines and null texts hold no line. Ids are integers; null
+    are compared with its leader; those not linked to it with four leaders of their own; what is
+    left, with each other in blocks, or, while a bucket has many, with further leaders. Lines near
+    a leader are then compared with those linked to it, so that components are those of all pairs
+    of a bucket. Sets are compared by 64-bit hashes of shingles. The first line is the one of the
+    smallest id, then text and place. Blank lines and null texts hold no line. Ids are integers; null
     ids come last. Rows repeated with their id and text are one document. Other columns are
     not read.
     """
@@ -199,11 +237,12 @@ def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     texts = saved(_passing(lines.select("key", "line"), "key",
                            saved(_filter_of(among, "key"), "filter"))
                   .dropDuplicates(["key"]).join(among, "key", "left_semi")
-                   .withColumn("n", F.size(_set_of(F.col("line")))), "texts")
+                   .withColumn("n", F.size(_hashes(F.col("line")))), "texts")
     first = active.where("key != lo").select("bucket", F.col("key").alias("a"), F.col("lo").alias("b"))
     near = max(0, 2 * percent - 100)
-    compared = leader_rounds(first, lambda pairs: _similar(pairs, texts, percent, near))
-    return _placed(lines, _joined(saved(compared.distinct(), "compared"), texts, percent))
+    left: list[DataFrame] = []
+    compared = leader_rounds(first, lambda pairs: _similar(pairs, texts, percent, near), left, after=2)
+    return _placed(lines, _joined(saved(compared.distinct(), "compared"), texts, percent, left))
 
 
 def _placed(lines: DataFrame, found: DataFrame) -> DataFrame:
