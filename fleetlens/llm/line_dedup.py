@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -30,6 +31,8 @@ BANDS, ROWS = 9, 4
 PERCENT = 80
 #: Lines in a block, and shingles in it, about.
 BLOCK, BLOCK_SHINGLES = 256, 1 << 19
+#: 64-bit words of a set's parities, a power of two.
+WORDS = 8
 #: Bits of a broadcast filter: 8 MB. A full one only lets more rows through.
 _FILTER_BITS, _PAGE_BITS = 26, 15
 
@@ -122,12 +125,30 @@ def _dealt(members: DataFrame, n_own: str, n_other: str) -> DataFrame:
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col(n_other) - 1))))
 
 
+def _with_sets(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows`` with a key's set as ``s`` and, as ``w``, the parities of how many of its hashes
+    fall on each of 64 * WORDS places."""
+    def word(k: int) -> Column:
+        bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
+        return F.aggregate(F.filter("s", lambda h: F.shiftright(h, 6).bitwiseAND(WORDS - 1) == k),
+                           F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseXOR(bit(h)))
+
+    sets = (texts.join(rows.select("key").distinct(), "key", "left_semi")
+            .select("key", F.explode(F.array(_hashes(F.col("line")))).alias("s")))
+    words = saved(sets.select("key", F.array(*[word(k) for k in range(WORDS)]).alias("w")), "words")
+    return rows.join(texts.select("key", _hashes(F.col("line")).alias("s")), "key").join(words, "key")
+
+
 def _like(x: Column, y: Column, percent: int) -> Column:
-    """Whether two sets are alike; sets of too different sizes are not met."""
-    n, m = F.size(x), F.size(y)
+    """Whether two sets are alike. Those of too different sizes are not met, nor those whose
+    parities differ in more places than like sets have elements apart: each such place has one."""
+    n, m = F.size(x["s"]), F.size(y["s"])
+    apart = reduce(lambda a, b: a + b, [F.bit_count(F.get(x["w"], F.lit(k)).bitwiseXOR(F.get(y["w"], F.lit(k))))
+                                        for k in range(WORDS)])
     # 100 * shared >= percent * (n + m - shared), with the sets met once
     return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
-            & ((100 + percent) * F.size(F.array_intersect(x, y)) >= percent * (n + m)))
+            & ((100 + percent) * apart <= (100 - percent) * (n + m))
+            & ((100 + percent) * F.size(F.array_intersect(x["s"], y["s"])) >= percent * (n + m)))
 
 
 def _within(left: DataFrame, linked: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -142,15 +163,15 @@ def _within(left: DataFrame, linked: DataFrame, texts: DataFrame, percent: int)
     dealt = (_dealt(members.join(saved(counts, "left-blocks"), "bucket"), "n_blocks", "n_blocks")
              .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                      "own", "c", "key"))
-    member = F.struct("c", "s")
-    grouped = (dealt.join(texts.select("key", _hashes(F.col("line")).alias("s")), "key")
+    member = F.struct("c", "s", "w")
+    grouped = (_with_sets(dealt, texts)
                .groupBy("bucket", "i", "j").agg(
                    F.collect_list(F.when(F.col("own") == F.col("i"), member)).alias("xs"),
                    F.collect_list(F.when(F.col("own") == F.col("j"), member)).alias("ys")))
 
     def of_one(x: Column) -> Column:
         new = lambda y: (x["c"] < y["c"]) | ((x["c"] != y["c"]) & (F.col("i") != F.col("j")))
-        return F.transform(F.filter("ys", lambda y: new(y) & _like(x["s"], y["s"], percent)),
+        return F.transform(F.filter("ys", lambda y: new(y) & _like(x, y, percent)),
                            lambda y: F.struct(x["c"].alias("a"), y["c"].alias("b")))
 
     return grouped.select(F.explode(F.array_distinct(F.flatten(F.transform("xs", of_one)))).alias("link")
@@ -184,13 +205,13 @@ def _across(compared: DataFrame, linked: DataFrame, texts: DataFrame, percent: i
     right = (_dealt(held.join(counts, "b"), "n_held", "n_near")
              .select("b", F.col("other").alias("i"), F.col("own").alias("j"), "key",
                      F.lit(None).cast("bigint").alias("ca"), F.lit(None).cast("bigint").alias("cb")))
-    both = left.unionByName(right).join(texts.select("key", _hashes(F.col("line")).alias("s")), "key")
+    both = _with_sets(left.unionByName(right), texts)
     grouped = both.groupBy("b", "i", "j").agg(
         F.max("cb").alias("cb"),
-        F.collect_list(F.when(F.col("ca").isNotNull(), F.struct("ca", "s"))).alias("xs"),
-        F.collect_list(F.when(F.col("ca").isNull(), F.col("s"))).alias("ys"))
+        F.collect_list(F.when(F.col("ca").isNotNull(), F.struct("ca", "s", "w"))).alias("xs"),
+        F.collect_list(F.when(F.col("ca").isNull(), F.struct("s", "w"))).alias("ys"))
 
-    found = F.filter("xs", lambda x: F.exists("ys", lambda y: _like(x["s"], y, percent)))
+    found = F.filter("xs", lambda x: F.exists("ys", lambda y: _like(x, y, percent)))
     return grouped.select("cb", F.explode(F.array_distinct(F.transform(found, lambda x: x["ca"])))
                           .alias("ca")).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
 
