@@ -7,9 +7,9 @@ are compared with each other in blocks. Lines that are near a leader, but not li
 are compared in blocks with those that are.
 Links are joined to components, and of each component the first line in document order stays.
 
-Line text is never shuffled as a whole. What leaves the scan is a signature per distinct
-line, then two numbers per band; texts are fetched for lines that share a bucket. Filters
-of fixed size, broadcast, keep other rows out of these shuffles.
+Lines are cut once and written. Line text is never shuffled as a whole: what leaves the scan
+is a signature per distinct line, then two numbers per band; texts are fetched for lines that
+share a bucket, and a filter of fixed size, broadcast, keeps others out of that shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import random
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetlens.llm.common import saved, text_of, unused
 from fleetlens.llm.components import components
@@ -29,6 +29,8 @@ SHINGLE = 7
 #: 9,999 of 10,000.
 BANDS, ROWS = 9, 4
 PERCENT = 80
+#: Shingles of a line that are signed in one row, and bytes of a character in UTF-32.
+CHUNK, WIDE = 16, 4
 #: Lines in a block, and shingles in it, about.
 BLOCK, BLOCK_SHINGLES = 256, 1 << 19
 #: 64-bit words of a set's parities, a power of two.
@@ -51,26 +53,37 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.select("id", "text_key", "line_no", "line", F.xxhash64("line").alias("key"))
 
 
-def _shingles(line: Column) -> Column:
-    return F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), 1)
+def _last(code: Column) -> Column:
+    """Where the last shingle of a line in UTF-32 starts; a short line is its only one."""
+    return F.greatest(F.lit(1), F.octet_length(code) - (WIDE * SHINGLE - 1))
+
+
+def _cut(code: Column, start: Column) -> Column:
+    return F.substring(code, start, F.lit(WIDE * SHINGLE))
 
 
 def _signatures(lines: DataFrame) -> DataFrame:
-    """``key, m0, m1, ...``. A permutation is a hash combined with a constant by XOR;
+    """``key, m0, m1, ...``. A permutation is a 32-bit hash combined with a constant by XOR;
     the constants' leading bits differ, so that minima come from different shingles.
 
     Every line takes all its shingles: two forms of signature would part pairs that lie on
-    both sides of the bound between them.
+    both sides of the bound between them. Characters of equal width are cut by place. A row has
+    ``CHUNK`` shingles, so that minima of a line are met once for all of them; behind a line's
+    end it repeats the last, which changes no minimum.
     """
     n = BANDS * ROWS
     draw = random.Random(11)
-    masks = [(((i * 64 // n) << 58) | draw.getrandbits(58)) - (1 << 63) for i in range(n)]
-    line = F.col("line")
-    all_of = F.when(F.length(line) <= SHINGLE, F.array(line)).otherwise(_shingles(line))
-    hashed = (lines.select("key", F.explode(all_of).alias("shingle"))
-              .select("key", F.xxhash64("shingle").alias("h")))
+    masks = [(((i * 64 // n) << 26) | draw.getrandbits(26)) - (1 << 31) for i in range(n)]
+    chunks = (lines.select("key", F.encode("line", "UTF-32").alias("code"))
+              .select("key", "code", _last(F.col("code")).alias("last"))
+              .select("key", "code", "last", F.explode(F.sequence(
+                  F.lit(1), F.col("last"), F.lit(WIDE * CHUNK))).alias("start")))
+    hashed = chunks.select("key", *[
+        F.hash(_cut(F.col("code"), F.least(F.col("start") + WIDE * j, F.col("last")))).alias(f"h{j}")
+        for j in range(CHUNK)])
     return hashed.groupBy("key").agg(*[
-        F.min(F.col("h").bitwiseXOR(F.lit(mask))).alias(f"m{k}") for k, mask in enumerate(masks)])
+        F.min(F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(mask)) for j in range(CHUNK)])).alias(f"m{k}")
+        for k, mask in enumerate(masks)])
 
 
 def _filter_of(values: DataFrame, column: str) -> DataFrame:
@@ -93,8 +106,10 @@ def _passing(rows: DataFrame, column: str, bits: DataFrame) -> DataFrame:
 
 def _all_hashes(line: Column) -> Column:
     """64-bit hashes of all shingles, repeats too."""
-    return F.when(F.length(line) <= SHINGLE, F.array(F.xxhash64(line))).otherwise(
-        F.transform(_shingles(line), lambda s: F.xxhash64(s)))
+    # as an element of an array, the line is not copied for every shingle
+    cut = F.transform(F.array(F.encode(line, "UTF-32")), lambda code: F.transform(
+        F.sequence(F.lit(1), _last(code), F.lit(WIDE)), lambda start: F.xxhash64(_cut(code, start))))
+    return F.get(cut, F.lit(0))
 
 
 def _hashes(line: Column) -> Column:
@@ -109,11 +124,13 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int, near: int) -> Dat
     leaders = texts.join(pairs.select(F.col("b").alias("key")).distinct(), "key", "left_semi").select(
         F.col("key").alias("b"), _hashes(F.col("line")).alias("y"), F.col("n").alias("ny"))
     members = texts.select(F.col("key").alias("a"), F.col("line").alias("x"), F.col("n").alias("nx"))
-    shared = F.size(F.array_intersect(_all_hashes(F.col("x")), F.col("y")))
     # A filter on what a generator returns stays behind it: sets are not met twice per pair.
+    # One of its own for hashes leaves the other one to generated code.
     sized = (pairs.join(members, "a").join(leaders, "b")
              .where(100 * F.least("nx", "ny") >= near * F.greatest("nx", "ny"))
-             .select("a", "b", F.explode(F.array(shared)).alias("shared"), (F.col("nx") + F.col("ny")).alias("sum")))
+             .select("a", "b", "y", F.explode(F.array(_all_hashes(F.col("x")))).alias("s"),
+                     (F.col("nx") + F.col("ny")).alias("sum"))
+             .select("a", "b", F.explode(F.array(F.size(F.array_intersect("s", "y")))).alias("shared"), "sum"))
     together = F.col("sum") - F.col("shared")
     return sized.where(100 * F.col("shared") >= near * together).select(
         "a", "b", (100 * F.col("shared") >= percent * together).alias("hit"))
@@ -128,15 +145,14 @@ def _dealt(members: DataFrame, n_own: str, n_other: str) -> DataFrame:
 def _with_sets(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """``rows`` with a key's set as ``s`` and, as ``w``, the parities of how many of its hashes
     fall on each of 64 * WORDS places."""
-    def word(k: int) -> Column:
-        bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
-        return F.aggregate(F.filter("s", lambda h: F.shiftright(h, 6).bitwiseAND(WORDS - 1) == k),
-                           F.lit(0).cast("bigint"), lambda acc, h: acc.bitwiseXOR(bit(h)))
-
     sets = (texts.join(rows.select("key").distinct(), "key", "left_semi")
             .select("key", F.explode(F.array(_hashes(F.col("line")))).alias("s")))
-    words = saved(sets.select("key", F.array(*[word(k) for k in range(WORDS)]).alias("w")), "words")
-    return rows.join(texts.select("key", _hashes(F.col("line")).alias("s")), "key").join(words, "key")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("h").bitwiseAND(63).cast("int"))
+    word = F.shiftright("h", 6).bitwiseAND(WORDS - 1)
+    parity = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("bigint"))) for k in range(WORDS)]
+    words = saved(sets.select("key", F.explode("s").alias("h")).groupBy("key").agg(F.array(*parity).alias("w")),
+                  "words")
+    return rows.join(sets, "key").join(words, "key")
 
 
 def _like(x: Column, y: Column, percent: int) -> Column:
@@ -246,20 +262,19 @@ def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     ids come last. Rows repeated with their id and text are one document. Other columns are
     not read.
     """
-    lines = _lines(docs, id_col, text_col)
-    bands = saved(_signatures(lines).select("key", F.explode(F.array(*[
+    lines = saved(_lines(docs, id_col, text_col), "lines")
+    bands = _signatures(lines).select("key", F.explode(F.array(*[
         F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)])
-        for b in range(BANDS)])).alias("bucket")), "bands")
-    shared = saved(bands.groupBy("bucket").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
-                   .where("lo < hi").select("bucket", "lo"), "shared")
-    active = saved(_passing(bands, "bucket", saved(_filter_of(shared, "bucket"), "filter"))
-                   .join(shared, "bucket").select("bucket", "key", "lo"), "members")
-    among = saved(active.select("key").distinct(), "among")
+        for b in range(BANDS)])).alias("bucket"))
+    # The smallest key leads. The frame grows by a row, so that no bucket is held in memory.
+    before = Window.partitionBy("bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = saved(bands.select("bucket", F.col("key").alias("a"), F.first("key").over(before).alias("b"))
+                  .where("a != b"), "members")
+    among = saved(first.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "among")
     texts = saved(_passing(lines.select("key", "line"), "key",
                            saved(_filter_of(among, "key"), "filter"))
                   .dropDuplicates(["key"]).join(among, "key", "left_semi")
-                   .withColumn("n", F.size(_hashes(F.col("line")))), "texts")
-    first = active.where("key != lo").select("bucket", F.col("key").alias("a"), F.col("lo").alias("b"))
+                  .withColumn("n", F.size(_hashes(F.col("line")))), "texts")
     near = max(0, 2 * percent - 100)
     left: list[DataFrame] = []
     compared = leader_rounds(first, lambda pairs: _similar(pairs, texts, percent, near), left, after=2)
@@ -268,7 +283,7 @@ def line_components(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
 
 def _placed(lines: DataFrame, found: DataFrame) -> DataFrame:
     """Every place of lines that occur again, alike or linked, with its component's first."""
-    places = saved(lines.select("id", "text_key", "line_no", "key"), "places")
+    places = lines.select("id", "text_key", "line_no", "key")
     again = places.groupBy("key").count().where("count > 1").select("key")
     named = (again.join(found.withColumnRenamed("node", "key"), "key", "full")
              .select("key", F.coalesce("component", "key").alias("component")))

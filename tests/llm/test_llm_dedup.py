@@ -318,3 +318,29 @@ def test_line_dedup_is_native(spark):
     plan = line_dedup._signatures(line_dedup._lines(frame(spark, ODD), "doc_id", "text"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", text)
+
+
+def test_lines_are_cut_once(spark, monkeypatch):
+    """Signatures, texts and places all come from one cutting of the documents."""
+    plans, saved = [], line_dedup.saved
+    monkeypatch.setattr(line_dedup, "saved", lambda df, label: (
+        plans.append(df._jdf.queryExecution().analyzed().toString()), saved(df, label))[1])
+    line_dedup.line_components(frame(spark, ODD)).collect()
+    assert sum("posexplode" in plan for plan in plans) == 1
+
+
+def test_signatures_take_every_shingle(spark):
+    """The minima of a line are those of its shingles, each a line of its own; also where a
+    row of shingles ends, and for characters of any width."""
+    draw = random.Random(3)
+    letters = "abc dé日𝒳"
+    texts = ["".join(draw.choices(letters, k=n)) for n in (1, 6, 7, 8, 21, 22, 23, 24, 38, 39, 40, 200)]
+    shingles = {text: {text[j:j + 7] for j in range(max(1, len(text) - 6))} for text in texts}
+    every = sorted({*texts, *itertools.chain(*shingles.values())})
+    lines = spark.createDataFrame(list(enumerate(every)), "key BIGINT, line STRING")
+    got = {every[r.key]: r[1:] for r in line_dedup._signatures(lines).collect()}
+    for text, parts in shingles.items():
+        assert got[text] == tuple(min(m) for m in zip(*[got[part] for part in parts], strict=True))
+    hashes = {r.line: set(r.s) for r in lines.select("line", line_dedup._hashes(F.col("line")).alias("s")).collect()}
+    for text, parts in shingles.items():
+        assert hashes[text] == {h for part in parts for h in hashes[part]} and len(hashes[text]) == len(parts)
