@@ -31,6 +31,8 @@ BANDS, ROWS = 9, 4
 PERCENT = 80
 #: Shingles of a line that are signed in one row, and bytes of a character in UTF-32.
 CHUNK, WIDE = 16, 4
+#: What is cut off at the ends of a line.
+EDGES = " \t\r\x0b\x0c"
 #: Lines in a block, and shingles in it, about.
 BLOCK, BLOCK_SHINGLES = 256, 1 << 19
 #: 64-bit words of a set's parities, a power of two.
@@ -40,8 +42,11 @@ _FILTER_BITS, _PAGE_BITS = 26, 15
 
 
 def line_form(line: Column) -> Column:
-    """What is compared: lower case, without blanks at the ends."""
-    return F.lower(F.btrim(line, F.lit(" \t\r\x0b\x0c")))
+    """What is compared: lower case, without blanks at the ends. Trimming measures every
+    character of a line, so lines whose first and last byte are no blanks are left as they are."""
+    code, blanks = line.cast("binary"), [F.lit(c.encode()) for c in EDGES]
+    edged = F.substring(code, 1, 1).isin(*blanks) | F.substring(code, -1, 1).isin(*blanks)
+    return F.lower(F.when(edged, F.btrim(line, F.lit(EDGES))).otherwise(line))
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

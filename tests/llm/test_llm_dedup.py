@@ -320,6 +320,17 @@ def test_line_dedup_is_native(spark):
     assert not re.search("Python|Arrow|Pandas", text)
 
 
+def test_only_lines_with_blanks_at_an_end_are_trimmed(spark):
+    ends = ["", " ", "\t\r", "\x0b \x0c", "\u00a0", "é", "\U0001d4b3"]
+    texts = [a + body + b for a in ends for body in ("", "x", "A b", "日 É") for b in ends]
+    lines = spark.createDataFrame(list(enumerate([*texts, None])), "key BIGINT, raw STRING")
+    formed = lines.select("key", line_dedup.line_form(F.col("raw")).alias("line"))
+    got = {r.key: r.line for r in formed.collect()}
+    assert got == {**{n: t.strip(" \t\r\x0b\x0c").lower() for n, t in enumerate(texts)}, len(texts): None}
+    plan = formed._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"CASE WHEN .* THEN trim\(", plan), plan
+
+
 def test_lines_are_cut_once(spark, monkeypatch):
     """Signatures, texts and places all come from one cutting of the documents."""
     plans, saved = [], line_dedup.saved
